@@ -14,7 +14,7 @@ def _col(c: Column | str) -> Column:
 
 
 def to_date_fmt(c: Column | str, fmt: str = "dd.MM.yyyy") -> Column:
-    return F.try_to_date(_col(c), F.lit(fmt))
+    return F.try_to_date(_col(c), fmt)
 
 
 def to_date_iso(c: Column | str) -> Column:
@@ -25,7 +25,7 @@ def to_date_dayfirst(c: Column | str) -> Column:
     """Day-first text (``15.03.2024``, ``15/03/2024``, ``15-03-2024``, optional time)."""
     text = F.regexp_replace(F.trim(_col(c).cast("string")), r"[/-]", ".")
     day = F.regexp_extract(text, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", 0)
-    return F.coalesce(F.try_to_date(F.nullif(day, F.lit("")), F.lit("d.M.yyyy")), F.try_to_date(_col(c)))
+    return F.coalesce(F.try_to_date(F.nullif(day, F.lit("")), "d.M.yyyy"), F.try_to_date(_col(c)))
 
 
 def to_timestamp_iso(c: Column | str) -> Column:

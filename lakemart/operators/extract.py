@@ -54,18 +54,30 @@ N_VALID = 8
 N_INVALID = 1
 
 
+def clean_codes(lines: DataFrame) -> DataFrame:
+    """Trimmed species code; area code without a trailing ``.0``, padded to two
+    characters (never cut)."""
+    return (lines.withColumn(SPECIES, F.trim(quote_name(SPECIES)))
+            .withColumn(AREA, zfill_code(strip_dot0(quote_name(AREA)), 2)))
+
+
+def filter_codes(df: DataFrame, species: Iterable[str], areas: Iterable[str]) -> DataFrame:
+    """Rows whose species and area codes are in the selected sets."""
+    return df.filter(F.col(f"`{SPECIES}`").isin(sorted(set(species)))
+                     & F.col(f"`{AREA}`").isin(sorted(set(areas))))
+
+
+def filter_dates(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Day-first landing date parsed; rows within [start, end] (inclusive)."""
+    x = df.withColumn("landing_date", to_date_dayfirst(quote_name(DATE)))
+    return x.filter(F.col("landing_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
 def select_catch(lines: DataFrame, species: Iterable[str], areas: Iterable[str],
                  start: str, end: str) -> DataFrame:
-    """Trimmed species code, area code without a trailing ``.0`` and padded to
-    two characters (never cut), selected codes, day-first date within
-    [start, end], Monday of the week, weight parsed as a Norwegian number."""
-    species, areas = sorted(set(species)), sorted(set(areas))
-    x = (lines
-         .withColumn(SPECIES, F.trim(quote_name(SPECIES)))
-         .withColumn(AREA, zfill_code(strip_dot0(quote_name(AREA)), 2)))
-    x = x.filter(F.col(f"`{SPECIES}`").isin(species) & F.col(f"`{AREA}`").isin(areas))
-    x = x.withColumn("landing_date", to_date_dayfirst(quote_name(DATE)))
-    x = x.filter(F.col("landing_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """Clean codes, keep selected codes and dates, add the Monday of the week
+    and the weight parsed as a Norwegian number."""
+    x = filter_dates(filter_codes(clean_codes(lines), species, areas), start, end)
     return (x.withColumn("week_start", week_start("landing_date"))
             .withColumn("weight_num", to_number(quote_name(WEIGHT))))
 
@@ -127,8 +139,11 @@ def latest_non_null(df: DataFrame, key: str, columns: Sequence[str], order: Sequ
     those rows; it is a declarative aggregate, so Spark combines it map-side
     and a key with very many rows is never gathered in one place.
     """
-    ordering = F.struct(*[F.col(c) for c in order])
-    aggs = [F.max_by(quote_name(c), F.when(quote_name(c).isNotNull(), ordering)).alias(c) for c in columns]
+    aggs = []
+    for c in columns:
+        # The value itself breaks ties on the order columns: same result on every run.
+        ordering = F.struct(*[F.col(o) for o in order], quote_name(c).alias("_v"))
+        aggs.append(F.max_by(quote_name(c), F.when(quote_name(c).isNotNull(), ordering)).alias(c))
     return df.groupBy(key).agg(*aggs)
 
 

@@ -55,9 +55,21 @@ def with_species_text(df: DataFrame) -> DataFrame:
     return df.withColumn("species_id_text", F.col("species_id").cast("string"))
 
 
+ROWS_PER_PARTITION = 2500
+
+
+def training_partitions(n_rows: int, parallelism: int, per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partitions for tree growing: each level aggregates one task per
+    partition, so a small table in many partitions pays task overhead and one
+    partition leaves cores idle."""
+    return max(1, min(parallelism, -(-n_rows // per_partition)))
+
+
 def fit(train: DataFrame, features: Sequence[str], params: ForestParams = ForestParams(),
         encode_species: bool = False) -> PipelineModel:
     rows = train.checkpoint(eager=True)
+    n = training_partitions(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.repartition(n)
     if encode_species:
         rows = with_species_text(rows)
     return forest_pipeline(features, params, encode_species).fit(rows)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import lpad_code, vessel_group
+from lakemart.operators.joins import broadcast_if_fits
 from lakemart.sources.calendar import calendar, fixed_holidays
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -66,13 +67,15 @@ def _nation_region(t: Tables) -> DataFrame:
 def landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LANDINGS: typed landing lines before cleaning (Silver's parsed stage)."""
     t = Tables(spark, sf_dir)
-    supplier_area = (t.supplier.select("s_suppkey", "s_nationkey")
+    suppliers = t.supplier.select("s_suppkey", "s_nationkey")
+    supplier_area = (suppliers
                      .join(F.broadcast(_nation_region(t)), F.col("s_nationkey") == F.col("n_nationkey"))
                      .select("s_suppkey", "n_regionkey", "r_name"))
+    parts = t.part.select("p_partkey", "p_type")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                            "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    return (li.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(supplier_area, F.col("l_suppkey") == F.col("s_suppkey"))
+    return (li.join(broadcast_if_fits(parts), F.col("l_partkey") == F.col("p_partkey"))
+            .join(broadcast_if_fits(supplier_area, bound=suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 F.concat_ws("-", F.col("l_orderkey").cast("string"),
                             F.col("l_linenumber").cast("string")).alias("note_id"),
@@ -110,6 +113,12 @@ def _vessel_rows(t: Tables, build_year: Column, power: Column, register_year: in
             ))
 
 
+def vessels_fit_broadcast(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether vessel tables (at most two rows per supplier) may be broadcast."""
+    from lakemart.operators.joins import DEFAULT_EXPANSION, fits_broadcast
+    return fits_broadcast(Tables(spark, sf_dir).supplier, expansion=2 * DEFAULT_EXPANSION)
+
+
 def vessels_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VESSELS twice: two register years of every vessel.
 
@@ -128,11 +137,12 @@ def vessels_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sea_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SEA: one reading per order, several per (date, area), area code unpadded."""
     t = Tables(spark, sf_dir)
-    cust_area = (t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    customers = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    cust_area = (customers
                  .join(F.broadcast(_nation_region(t)), F.col("c_nationkey") == F.col("n_nationkey"))
                  .select("c_custkey", "c_acctbal", "n_regionkey", "r_name"))
     return (t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-            .join(cust_area, F.col("o_custkey") == F.col("c_custkey"))
+            .join(broadcast_if_fits(cust_area, bound=customers), F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 F.col("o_orderdate").cast("date").alias("date"),
                 F.col("n_regionkey").cast("string").alias("area_code"),

@@ -34,7 +34,8 @@ def silver_calendar(spark: SparkSession) -> DataFrame:
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.weekly_mart(silver_landings(spark, sf_dir), silver_vessels(spark, sf_dir),
                             silver_sea(spark, sf_dir), silver_calendar(spark),
-                            species_ids=b.BOUND_SPECIES_IDS)
+                            species_ids=b.BOUND_SPECIES_IDS,
+                            broadcast_vessels=b.vessels_fit_broadcast(spark, sf_dir))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,3 +310,17 @@ def join_lookup_default(spark, sf):
         "species_name", F.when(F.col("gear_code") == "R", F.lit(None).cast("string")).otherwise(F.col("species_name")))
     return (rows.join(F.broadcast(table), "species_code", "left")
             .select("note_id", F.coalesce("species_name", "label").alias("species_name")))
+
+
+@register("stream_bronze_ingest", sql("SELECT * FROM landings"))
+def stream_bronze_ingest(spark, sf):
+    """Landed files taken incrementally (Structured Streaming, availableNow)
+    into a Bronze folder, then typed: equal to the source rows."""
+    from lakemart.streaming import append_new_files, csv_stream_to_variant
+    from lakemart.sources.files import read_csv_strings
+
+    landing = raw.landings_csv(spark, sf)
+    columns = read_csv_strings(spark, landing, ";").columns
+    target = scratch_path(spark, "bronze-landings")
+    append_new_files(csv_stream_to_variant(spark, landing, columns, ";"), target)
+    return silver.parse_landings(spark.read.parquet(target)).drop("_ingest_ts")

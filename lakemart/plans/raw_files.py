@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import extract as ex
+from lakemart.operators.joins import broadcast_if_fits
 from lakemart.plans import bindings as b
 from lakemart.session import scratch_path
 from lakemart.sources.sinks import write_csv, write_jsonl
@@ -135,11 +136,14 @@ def catch_lines(spark: SparkSession, sf: str) -> DataFrame:
     t = b.Tables(spark, sf)
     nr = (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
           .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
-    sup = (t.supplier.join(F.broadcast(nr), F.col("s_nationkey") == F.col("n_nationkey"))
-           .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "n_name", "n_regionkey", "r_name"))
+    suppliers = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    sup = broadcast_if_fits(
+        suppliers.join(F.broadcast(nr), F.col("s_nationkey") == F.col("n_nationkey"))
+        .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "n_name", "n_regionkey", "r_name"),
+        bound=suppliers)
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    j = (li.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    j = (li.join(broadcast_if_fits(t.part.select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
          .join(sup, F.col("l_suppkey") == F.col("s_suppkey")))
     length = (F.lit(10) + F.col("s_suppkey") % 30).cast("double")
     comma = lambda c: F.replace(c.cast("string"), F.lit("."), F.lit(","))

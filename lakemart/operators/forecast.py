@@ -30,7 +30,7 @@ class ForestParams:
     min_instances_per_node: int = 4
     feature_subset: str = "0.5"
     seed: int = 42
-    max_memory_mb: int = 512
+    max_memory_mb: int = 256
 
 
 def forest_pipeline(features: Sequence[str], params: ForestParams = ForestParams(),
@@ -67,12 +67,19 @@ def training_partitions(n_rows: int, parallelism: int, per_partition: int = ROWS
 
 def fit(train: DataFrame, features: Sequence[str], params: ForestParams = ForestParams(),
         encode_species: bool = False) -> PipelineModel:
-    rows = train.checkpoint(eager=True)
+    cached = train.persist()  # so the checkpoint computes the input once, not twice
+    rows = cached.checkpoint(eager=True)
+    cached.unpersist()
     n = training_partitions(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
     rows = rows.repartition(n)
     if encode_species:
         rows = with_species_text(rows)
-    return forest_pipeline(features, params, encode_species).fit(rows)
+    # Cached for the many passes of tree growing; a lost block is rebuilt from the checkpoint.
+    rows = rows.persist()
+    try:
+        return forest_pipeline(features, params, encode_species).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, test: DataFrame, encode_species: bool = False) -> DataFrame:

@@ -14,14 +14,24 @@ from lakemart.session import scratch_path
 from lakemart.sources import sinks
 
 _MODELS: dict = {}
+_ROWS: dict = {}
 
 
 def _feature_names() -> list[str]:
     return feat.feature_columns(layers.species_levels())
 
 
+def _model_rows(spark, sf):
+    """Model input written once per session and data folder (small: one row
+    per week x species x area), shared by the training and holdout splits."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ROWS:
+        _ROWS[key] = sinks.materialize(layers.model_rows(spark, sf), "model-rows")
+    return _ROWS[key]
+
+
 def _split(spark, sf):
-    rows = layers.model_rows(spark, sf)
+    rows = _model_rows(spark, sf)
     return layers.train_rows(rows), layers.test_rows(rows)
 
 

@@ -275,3 +275,37 @@ def win_dense_weeks(spark, sf):
     """Week spine per series (missing weeks as 0 kg) so lags count weeks."""
     mart = layers.mart(spark, sf).select("species_code", "area_code", "week_start", "landed_kg", "n_notes")
     return feat.dense_weeks(mart)
+
+
+@register("fn_hash_key")
+def fn_hash_key(spark, sf):
+    """64-bit xxHash keys of the species and area codes (no SQL twin: rows only)."""
+    from lakemart.functions import hash_key
+    landings = layers.silver_landings(spark, sf)
+    return landings.select("species_code", "area_code", hash_key("species_code").alias("species_key"),
+                           hash_key("area_code").alias("area_key")).distinct()
+
+
+@register("proj_key_first", sql("""
+SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM calendar"""))
+def proj_key_first(spark, sf):
+    """New key column first, then every calendar column."""
+    cal = layers.silver_calendar(spark)
+    return gold.dim_date(cal)
+
+
+@register("proj_rename", sql("""
+SELECT CAST(s_suppkey AS VARCHAR) AS vessel_id, s_name AS vessel_name, s_acctbal AS power_kw FROM supplier"""))
+def proj_rename(spark, sf):
+    s = b.Tables(spark, sf).supplier
+    return (s.select(F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name", "s_acctbal")
+            .withColumnRenamed("s_suppkey", "vessel_id").withColumnRenamed("s_name", "vessel_name")
+            .withColumnRenamed("s_acctbal", "power_kw"))
+
+
+@register("proj_drop_helper", sql("SELECT vessel_id, build_year FROM silver_vessels"))
+def proj_drop_helper(spark, sf):
+    """The row-number helper of the latest-row rule is dropped from the output."""
+    out = layers.silver_vessels(spark, sf)
+    assert "_rn" not in out.columns
+    return out.select("vessel_id", "build_year")

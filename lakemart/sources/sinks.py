@@ -46,3 +46,13 @@ def write_jsonl(df: DataFrame, path: str, keep_nulls: bool = True) -> None:
     """JSON Lines; NULL fields are written as explicit ``null``."""
     (df.write.mode("overwrite").option("ignoreNullFields", not keep_nulls)
      .option("dateFormat", "yyyy-MM-dd").json(path))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read
+    it back: later jobs start from the files (computed once, lineage cut, a
+    lost executor costs a re-read, not a recomputation)."""
+    from lakemart.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

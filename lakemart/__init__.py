@@ -13,3 +13,19 @@ sees the whole plan. Packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _pickle_by_value() -> None:
+    """Python functions of this package that run in Spark tasks (grouped-map
+    pandas functions) are shipped by value, so executors need no install."""
+    try:
+        import sys
+
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - optional: without it the package must be installed on executors
+        pass
+
+
+_pickle_by_value()

@@ -55,7 +55,7 @@ def with_species_text(df: DataFrame) -> DataFrame:
     return df.withColumn("species_id_text", F.col("species_id").cast("string"))
 
 
-ROWS_PER_PARTITION = 2500
+ROWS_PER_PARTITION = 1250
 
 
 def training_partitions(n_rows: int, parallelism: int, per_partition: int = ROWS_PER_PARTITION) -> int:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import lpad_code, vessel_group
-from lakemart.operators.joins import broadcast_if_fits
+from lakemart.operators.joins import broadcast_if_fits, spread_if_narrow
 from lakemart.sources.calendar import calendar, fixed_holidays
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -72,13 +72,15 @@ def landings(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .join(F.broadcast(_nation_region(t)), F.col("s_nationkey") == F.col("n_nationkey"))
                      .select("s_suppkey", "n_regionkey", "r_name"))
     parts = t.part.select("p_partkey", "p_type")
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                           "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+    li = t.lineitem.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("note_id"),
+        "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+    # note_id is the key Silver deduplicates on: the window reuses this partitioning.
+    li = spread_if_narrow(li, "note_id")
     return (li.join(broadcast_if_fits(parts), F.col("l_partkey") == F.col("p_partkey"))
             .join(broadcast_if_fits(supplier_area, bound=suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
-                F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                            F.col("l_linenumber").cast("string")).alias("note_id"),
+                "note_id",
                 F.col("l_shipdate").cast("date").alias("landing_date"),
                 F.when(F.col("l_tax") == F.lit(NULL_VESSEL_TAX), F.lit(None).cast("string"))
                  .otherwise(F.col("l_suppkey").cast("string")).alias("vessel_id"),
@@ -141,10 +143,13 @@ def sea_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust_area = (customers
                  .join(F.broadcast(_nation_region(t)), F.col("c_nationkey") == F.col("n_nationkey"))
                  .select("c_custkey", "c_acctbal", "n_regionkey", "r_name"))
-    return (t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    orders = t.orders.select(F.col("o_orderdate").cast("date").alias("date"), "o_custkey", "o_totalprice")
+    # date is part of Silver's (date, area) dedup key: the window reuses this partitioning.
+    orders = spread_if_narrow(orders, "date")
+    return (orders
             .join(broadcast_if_fits(cust_area, bound=customers), F.col("o_custkey") == F.col("c_custkey"))
             .select(
-                F.col("o_orderdate").cast("date").alias("date"),
+                "date",
                 F.col("n_regionkey").cast("string").alias("area_code"),
                 F.col("r_name").alias("area_name"),
                 F.col("c_acctbal").alias("sea_temp_c"),

@@ -117,9 +117,17 @@ def join_dim_date(spark, sf):
 
 @register("fact_landings")
 def fact_landings(spark, sf):
+    """Dimensions are written first (as the reference does); their written
+    size is then known, so each is broadcast behind the size check and the
+    fact is joined without being shuffled."""
+    from lakemart.operators.joins import broadcast_if_fits
+    from lakemart.sources.sinks import materialize
     landings, vessels, _, calendar = _silver(spark, sf)
-    return gold.fact_landings(landings, gold.dim_species(landings), gold.dim_area(landings),
-                              gold.dim_vessel(vessels), gold.dim_date(calendar))
+    species = materialize(gold.dim_species(landings), "dim-species")
+    area = materialize(gold.dim_area(landings), "dim-area")
+    vessel = materialize(gold.dim_vessel(vessels), "dim-vessel")
+    return gold.fact_landings(landings, broadcast_if_fits(species), broadcast_if_fits(area),
+                              broadcast_if_fits(vessel), gold.dim_date(calendar))
 
 
 @register("fact_landings_checked", sql("""

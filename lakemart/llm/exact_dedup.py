@@ -50,9 +50,10 @@ def progressive_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     # 1: by length, 2: by prefix within the lengths that several rows share
     keys = scratch.table(read.select("doc_id", "_size", "_prefix", *carried), "dedup-keys")
-    sizes = keys.groupBy("_size").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_size")
-    alike = (keys.select("_size", "_prefix").join(sizes, "_size", "left_semi")
-             .groupBy("_size", "_prefix").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_size", "_prefix"))
+    # (both from one partial aggregate, so that a hot length is reduced before it moves)
+    pairs = keys.groupBy("_size", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = pairs.groupBy("_size").agg(F.sum("_n").alias("_m")).filter("_m > 1").select("_size")
+    alike = pairs.join(sizes, "_size", "left_semi").filter("_n > 1").select("_size", "_prefix")
     alike = scratch.table(alike, "dedup-alike")
     few = alike.limit(broadcast_keys + 1).count() <= broadcast_keys
 

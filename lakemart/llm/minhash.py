@@ -8,11 +8,14 @@ cannot be part of a shared table key, so those are dropped before the pairs are
 formed.
 
 Identical sets are one class. Within a table key every class is compared with
-the least one; the links found give components, and only for keys that still
-hold several components the remaining pairs across them are formed, behind the
-agreement of the 40 minhashes (one byte each), which two sets at the threshold
-miss with a chance of about one in a million. Every link is confirmed on the
-full sets. A pair at similarity 0.8 shares no table key with a chance of
+one, the class with the most shared half-keys, behind the agreement of the 40
+minhashes (one byte each; two sets at the threshold miss it with a chance of
+about one in a million). The links found give components. Classes in keys that
+still hold several components go through an exact prefix filter: shingles are
+ordered by how few of these classes hold them, two sets that reach the
+threshold share one among their rarest fifth, and its places bound the overlap.
+Pairs inside a component are never formed. Every link is confirmed on the full
+sets. A pair at similarity 0.8 shares no table key with a chance of
 2 * (1 - 0.8 ** 2) ** 10 = 0.00007, and less above.
 
 Defined results: a text without words has an empty set, links with nothing and
@@ -27,7 +30,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices, splitmix, texts_of
@@ -110,6 +113,26 @@ def agreement(left: str, right: str):
     return HASHES - differ
 
 
+def across_parts(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (x, y) of different parts that may reach the threshold, from
+    ``sets`` (cid, part, set): none that reaches it is left out."""
+    terms = sets.select("cid", "part", F.size("set").alias("n"), F.explode("set").alias("term"))
+    held = terms.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
+    rarest = Window.partitionBy("cid").orderBy("holders", "term")
+    prefix = (terms.join(held.filter("holders > 1"), "term", "left").withColumn("holders", F.coalesce("holders", F.lit(1)))
+              .withColumn("at", F.row_number().over(rarest) - 1).filter((F.lit(100) * (F.col("n") - F.col("at")) >= percent * F.col("n")) & (F.col("holders") > 1)))
+    prefix = scratch.table(prefix.select("cid", "part", "n", "term", "at"), "minhash-prefix")
+    # Of the parts that share a term, all but the largest look for partners.
+    largest = (prefix.groupBy("term", "part").agg(F.count(F.lit(1)).alias("m")).groupBy("term")
+               .agg(F.max(F.struct("m", "part"))["part"].alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("term", "most"))
+    some = scratch.table(prefix.join(largest, "term"), "minhash-terms")
+    named = lambda p: some.select("term", "most", *[F.col(c).alias(f"{p}_{c}") for c in ("cid", "part", "n", "at")])
+    overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    enough = (100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))
+    met = named("x").filter("x_part != most").drop("most").join(named("y").drop("most"), "term").filter((F.col("x_part") != F.col("y_part")) & enough)
+    return met.select(F.least("x_cid", "y_cid").alias("x"), F.greatest("x_cid", "y_cid").alias("y")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least id
     reachable by links), kept (it is that id). Sets A and B are linked when
@@ -124,48 +147,50 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, seed: in
 
     # Half-keys that several classes share, then all pairs of them per class.
     halves = classes.select("cid", F.posexplode(F.concat("a", "b")).alias("place", "half"))
-    shared = halves.groupBy("place", "half").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("place", "half")
+    shared = halves.groupBy("place", "half").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     lists = (halves.join(shared, ["place", "half"]).groupBy("cid")
-             .agg(F.collect_list(F.when(F.col("place") < SIDE, F.struct("place", "half"))).alias("a"), F.collect_list(F.when(F.col("place") >= SIDE, F.struct("place", "half"))).alias("b")))
-    keys = (lists.select("cid", F.explode("a").alias("a"), "b").select("cid", "a", F.explode("b").alias("b"))
-            .select("cid", F.xxhash64("a.place", "a.half", "b.place", "b.half").alias("key")))
+             .agg(F.sum("m").alias("met"), F.collect_list(F.when(F.col("place") < SIDE, F.struct("place", "half"))).alias("a"), F.collect_list(F.when(F.col("place") >= SIDE, F.struct("place", "half"))).alias("b")))
+    keys = (lists.select("cid", "met", F.explode("a").alias("a"), "b").select("cid", "met", "a", F.explode("b").alias("b"))
+            .select("cid", "met", F.xxhash64("a.place", "a.half", "b.place", "b.half").alias("key")))
     keys = scratch.table(keys, "minhash-keys")
 
     close = (agreement("x_sketch", "y_sketch") >= HASHES // 2) & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
     side = lambda p: classes.select(F.col("cid").alias(p), F.col("n").alias(f"{p}_n"), F.col("sketch").alias(f"{p}_sketch"))
 
-    def confirmed(pairs: DataFrame, step: str) -> DataFrame:
-        """The pairs (x, y) whose full sets reach the threshold."""
-        wanted = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-        wanted = scratch.table(classes.join(wanted, "cid").select("cid", "digest", F.col("rep").alias("doc_id")), f"minhash-wanted-{step}")
+    def sets_of(ids, source: DataFrame, step: str) -> DataFrame:
+        """The full sets (cid, set) of the classes that ``source`` names."""
+        wanted = classes.join(source.select(ids.alias("cid")).distinct(), "cid").select("cid", "digest", F.col("rep").alias("doc_id"))
+        wanted = scratch.table(wanted, f"minhash-wanted-{step}")
         sets = full_sets(docs.join(wanted, "doc_id"), words).groupBy("cid").agg(F.first("set").alias("set"))
-        sets = scratch.table(sets, f"minhash-sets-{step}")
+        return scratch.table(sets, f"minhash-sets-{step}")
+
+    def confirmed(pairs: DataFrame, sets: DataFrame, step: str) -> DataFrame:
+        """The pairs (x, y) whose full sets reach the threshold."""
         joined = (pairs.join(sets.select(F.col("cid").alias("x"), F.col("set").alias("x_set")), "x")
                   .join(sets.select(F.col("cid").alias("y"), F.col("set").alias("y_set")), "y"))
         common = F.size(F.array_intersect("x_set", "y_set"))
         links = joined.filter(100 * common >= percent * (F.size("x_set") + F.size("y_set") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-        links = scratch.table(links, f"minhash-links-{step}")
-        scratch.drop(f"minhash-wanted-{step}", f"minhash-sets-{step}")
-        return links
+        return scratch.table(links, f"minhash-links-{step}")
 
-    # Stars: each class with the least of its key.
-    least = keys.groupBy("key").agg(F.min("cid").alias("y"), F.max("cid").alias("top")).filter("y != top").select("key", "y")
-    stars = keys.join(least, "key").filter("cid != y").select(F.col("cid").alias("x"), "y").distinct()
+    # Stars: each class with the class of its key that meets most others.
+    hubs = (keys.groupBy("key").agg(F.max(F.struct("met", "cid")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+            .select("key", F.col("hub.cid").alias("y")))
+    stars = keys.join(hubs, "key").filter("cid != y").select(F.col("cid").alias("x"), "y").distinct()
     stars = scratch.table(stars.join(side("x"), "x").join(side("y"), "y").filter(close).select("x", "y"), "minhash-stars")
-    links = confirmed(stars, "stars")
+    links = confirmed(stars, sets_of(F.explode(F.array("x", "y")), stars, "stars"), "stars")
     parts = connected_components(links, scratch, "minhash-first")
 
-    # The rest: pairs across components, in keys that hold more than one.
+    # The rest: classes in keys that hold more than one component.
     placed = keys.join(parts.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("part"))
     placed = scratch.table(placed, "minhash-placed")
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("key")
-    rest = scratch.table(placed.join(mixed, "key").join(classes.select("cid", "n", "sketch"), "cid"), "minhash-mixed")
-    named = lambda p: rest.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("cid", "part", "n", "sketch")])
-    across = (named("x").join(named("y"), "key")
-              .filter((F.col("x_part") < F.col("y_part")) & close).select(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).distinct())
-    across = scratch.table(across.join(stars.select(F.col("y").alias("x"), F.col("x").alias("y")), ["x", "y"], "left_anti")
-                           .join(stars, ["x", "y"], "left_anti"), "minhash-across")
-    links = links.unionByName(confirmed(across, "across"))
+    rest = scratch.table(placed.join(mixed, "key").select("cid", "part").distinct(), "minhash-rest")
+    scratch.drop("minhash-keys", "minhash-placed")
+    sets = sets_of(F.col("cid"), rest, "rest")
+    across = across_parts(rest.join(sets, "cid").select("cid", "part", "set"), percent, scratch)
+    across = across.join(stars, ["x", "y"], "left_anti").join(stars.select(F.col("y").alias("x"), F.col("x").alias("y")), ["x", "y"], "left_anti")
+    links = links.unionByName(confirmed(scratch.table(across, "minhash-across"), sets, "across"))
+    scratch.drop("minhash-sets-rest")
     parts = connected_components(links, scratch, "minhash-last")
 
     named_parts = classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "rep", F.coalesce("component", "cid").alias("part"))

@@ -21,7 +21,6 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,51 +30,46 @@ from .common import Scratch, built, ship_file, slices, texts_of
 # -- tokens ----------------------------------------------------------------
 #: A text with any other character, or with "<|", goes to the library whole:
 #: for these, lower case, composition and white space agree in every version.
-_PLAIN = re.compile("[\\x00-\\x1b\\x20-\\u02ff\\u2010-\\u2027\\u2030-\\u205e\\u20ac]*")
-# Fixed value: the vocabulary's splitting pattern.
-_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-
+_PLAIN = re.compile("[\\x00\\x02-\\x1b\\x20-\\u02ff\\u2010-\\u2027\\u2030-\\u205e\\u20ac]*")
 
 class WordTokens:
     """Ids of a lower-casing vocabulary as little-endian 32-bit bytes.
 
-    The library tokenises each word once while a worker remembers it: its
-    tokens never reach across the words of the splitting pattern, and every
-    word's last token ends in the vocabulary's word end, so many words go
-    through one call and their ids are cut apart again.
+    The library's tokens never reach across white space, so each run between
+    white space is tokenised once while a worker remembers it. New runs go
+    through the library together, with a control character between them whose
+    one token cuts their ids apart again.
     """
 
-    def __init__(self, text: str, cache_words: int = 500_000):
-        import json
+    BETWEEN = "\x01"
 
+    def __init__(self, text: str, cache_chunks: int = 1_000_000):
         from tokenizers import Tokenizer
 
-        model = json.loads(text)["model"]
-        mark = model["end_of_word_suffix"]
         self.library = Tokenizer.from_str(text)
         self.library.no_truncation()
         self.library.no_padding()
-        self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
-        self.ends[[i for t, i in model["vocab"].items() if t.endswith(mark)]] = True
-        self.chunks, self.words = ChunkCache(cache_words), ChunkCache(cache_words)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 2000):
-            part = words[i:i + 2000]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary does not end each word with its word end")
+        (self.cut,) = self.library.encode(self.BETWEEN, add_special_tokens=False).ids
+        self.chunks = ChunkCache(cache_chunks)
+
+    def whole(self, text: str) -> np.ndarray:
+        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
+
+    def _learn(self, chunks: list[str]) -> None:
+        for i in range(0, len(chunks), 5000):
+            part = chunks[i:i + 5000]
+            ids = self.whole(f" {self.BETWEEN} ".join(part))
+            cuts = np.flatnonzero(ids == self.cut)
+            if len(cuts) != len(part) - 1:
+                raise ValueError("a chunk holds the character that stands between chunks")
             raw = ids.tobytes()
-            self.words.values.update((w, raw[4 * a:4 * b]) for w, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()))
+            starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
+            self.chunks.values.update(zip(part, [raw[a:b] for a, b in zip(starts, ends)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         self.chunks.room()
-        self.words.room()
-        seen, known = self.chunks.values, self.words.values
+        seen = self.chunks.values
         split: list[list[str] | None] = []
         for text in texts:
             if "<|" in text or not _PLAIN.fullmatch(text):
@@ -85,13 +79,9 @@ class WordTokens:
         new = set()
         for chunks in split:
             new.update(chunks or ())
-        new.difference_update(seen)
-        if new:
-            words = {c: _WORD.findall(c) for c in new}
-            self._learn(list({w for ws in words.values() for w in ws}.difference(known)))
-            seen.update((c, known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])) for c, ws in words.items())
+        self._learn(list(new.difference(seen)))
         get = seen.__getitem__
-        return [self.whole(t) if cs is None else b"".join(map(get, cs)) for t, cs in zip(texts, split)]
+        return [self.whole(t).tobytes() if cs is None else b"".join(map(get, cs)) for t, cs in zip(texts, split)]
 
 
 def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.session import scratch_path
@@ -17,6 +17,8 @@ from lakemart.session import scratch_path
 #: Texts are handled in slices of at most so many rows and characters inside a
 #: task; a slice bounds the memory of a worker, not what is processed.
 SLICE_ROWS, SLICE_CHARS = 512, 4_000_000
+#: Most numbers that ``in_slots`` broadcasts (8 MB).
+SLOTS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +97,19 @@ class Scratch:
                 where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def slot(*columns: str) -> Column:
+    """One of SLOTS numbers from a hash of the columns."""
+    return F.pmod(F.xxhash64(*columns), F.lit(SLOTS))
+
+
+def in_slots(df: DataFrame, wanted: DataFrame, *columns: str, how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose slot some row of ``wanted`` has: all the wanted
+    rows, and some others. At most SLOTS numbers are broadcast, whatever the
+    sizes, so that a wide table is narrowed in its scan and never shuffled."""
+    slots = wanted.select(slot(*columns).alias("_slot")).distinct()
+    return df.withColumn("_slot", slot(*columns)).join(F.broadcast(slots), "_slot", how).drop("_slot")
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: a fixed mixing of 64-bit values."""
     x = x ^ (x >> np.uint64(30))

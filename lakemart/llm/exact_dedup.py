@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, texts_of
+from .common import Scratch, in_slots, texts_of
 
 #: The characters that normalisation deletes.
 WHITE = " \t\n\x0b\x0c\r"
@@ -31,14 +31,14 @@ def normalised(text: Column) -> Column:
 
 
 def progressive_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64,
-                      carry: dict[str, Column] | None = None, broadcast_keys: int = 500_000) -> DataFrame:
+                      carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept and the carried columns.
 
     ``carry`` maps names to expressions over ``doc_id``, ``text`` and ``norm``
-    (the normalised text), computed in the scan. The surviving (length, prefix
-    hash) keys are broadcast to the full read while there are at most
-    ``broadcast_keys`` (16 bytes each); with more, every row is hashed in that
-    scan instead, which gives the same result without moving any text.
+    (the normalised text), computed in the scan. The full read is narrowed to
+    rows whose (length, prefix hash) falls in a slot of a surviving one; the
+    slots are bounded in number, and rows that share one by chance are hashed
+    and found to be alone.
     """
     scratch = Scratch(docs.sparkSession)
     carry = carry or {}
@@ -55,20 +55,14 @@ def progressive_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sizes = pairs.groupBy("_size").agg(F.sum("_n").alias("_m")).filter("_m > 1").select("_size")
     alike = pairs.join(sizes, "_size", "left_semi").filter("_n > 1").select("_size", "_prefix")
     alike = scratch.table(alike, "dedup-alike")
-    few = alike.limit(broadcast_keys + 1).count() <= broadcast_keys
 
     # 3: full hashes of the rows that are left
-    full = read.select("doc_id", "_chars", "_size", "_prefix", F.col("norm"), *carried)
-    if few:
-        full = full.join(F.broadcast(alike), ["_size", "_prefix"], "left_semi")
-    full = full.select("doc_id", "_chars", "_size", "_prefix", F.sha2("norm", 256).alias("_full"), *named)
-    if not few:
-        full = full.join(alike, ["_size", "_prefix"], "left_semi")
-    full = scratch.table(full.select("doc_id", "_chars", "_full", *named), "dedup-full")
+    full = in_slots(read, alike, "_size", "_prefix").select("doc_id", "_chars", F.sha2("norm", 256).alias("_full"), *carried)
+    full = scratch.table(full, "dedup-full")
     groups = (full.groupBy("_full")
               .agg(F.count(F.lit(1)).alias("group_size"), F.min(F.struct(-F.col("_chars"), F.col("doc_id").isNull(), "doc_id")).alias("_best"))
               .select("_full", "group_size", F.col("_best.doc_id").alias("keep_id")))
     grouped = full.join(groups, "_full").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), *named)
-    alone = (keys.join(F.broadcast(alike) if few else alike, ["_size", "_prefix"], "left_anti")
+    alone = (in_slots(keys, alike, "_size", "_prefix", how="left_anti")
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *named))
     return grouped.unionByName(alone)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, splitmix, texts_of
+from .common import Scratch, in_slots, slices, splitmix, texts_of
 from .components import connected_components
 
 ROWS, SIDE = 2, 10
@@ -89,16 +89,16 @@ def signatures(docs: DataFrame, words: int, seed: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(cid, digest, words as longs) of docs (doc_id, text, cid, digest) whose
-    text has that digest."""
+    """(doc_id, digest, set): the sets of docs (doc_id, text) as longs."""
     def run(batches):
-        for batch in batches:
-            for at in range(batch.num_rows):
-                found = shingle_set(batch.column(1)[at].as_py(), words)
-                if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == batch.column(3)[at].as_py():
-                    yield pa.RecordBatch.from_arrays([batch.column(2).slice(at, 1), pa.array([found.view(np.int64)], pa.list_(pa.int64()))], ["cid", "set"])
+        for ids, texts in slices(batches):
+            sets = [shingle_set(t, words) for t in texts]
+            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, np.concatenate(sets).view(np.int64))], ["doc_id", "digest", "set"])
 
-    return docs.select("doc_id", "text", "cid", "digest").mapInArrow(run, "cid bigint, set array<bigint>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, digest binary, set array<bigint>")
 
 
 def agreement(left: str, right: str):
@@ -125,6 +125,7 @@ def across_parts(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     # Of the parts that share a term, all but the largest look for partners.
     largest = (prefix.groupBy("term", "part").agg(F.count(F.lit(1)).alias("m")).groupBy("term")
                .agg(F.max(F.struct("m", "part"))["part"].alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("term", "most"))
+    largest = scratch.table(largest, "minhash-largest")
     some = scratch.table(prefix.join(largest, "term"), "minhash-terms")
     named = lambda p: some.select("term", "most", *[F.col(c).alias(f"{p}_{c}") for c in ("cid", "part", "n", "at")])
     overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
@@ -157,14 +158,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, seed: in
     close = (agreement("x_sketch", "y_sketch") >= HASHES // 2) & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
     side = lambda p: classes.select(F.col("cid").alias(p), F.col("n").alias(f"{p}_n"), F.col("sketch").alias(f"{p}_sketch"))
 
-    def sets_of(ids, source: DataFrame, step: str) -> DataFrame:
-        """The full sets (cid, set) of the classes that ``source`` names."""
-        wanted = classes.join(source.select(ids.alias("cid")).distinct(), "cid").select("cid", "digest", F.col("rep").alias("doc_id"))
-        wanted = scratch.table(wanted, f"minhash-wanted-{step}")
-        sets = full_sets(docs.join(wanted, "doc_id"), words).groupBy("cid").agg(F.first("set").alias("set"))
-        return scratch.table(sets, f"minhash-sets-{step}")
+    # The full sets of all classes that share a key, in one more scan.
+    wanted = scratch.table(classes.join(keys.select("cid").distinct(), "cid").select("cid", "digest", F.col("rep").alias("doc_id")), "minhash-wanted")
+    sets = full_sets(in_slots(docs, wanted, "doc_id"), words).join(wanted, ["doc_id", "digest"]).groupBy("cid").agg(F.first("set").alias("set"))
+    sets = scratch.table(sets, "minhash-sets")
 
-    def confirmed(pairs: DataFrame, sets: DataFrame, step: str) -> DataFrame:
+    def confirmed(pairs: DataFrame, step: str) -> DataFrame:
         """The pairs (x, y) whose full sets reach the threshold."""
         joined = (pairs.join(sets.select(F.col("cid").alias("x"), F.col("set").alias("x_set")), "x")
                   .join(sets.select(F.col("cid").alias("y"), F.col("set").alias("y_set")), "y"))
@@ -177,7 +176,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, seed: in
             .select("key", F.col("hub.cid").alias("y")))
     stars = keys.join(hubs, "key").filter("cid != y").select(F.col("cid").alias("x"), "y").distinct()
     stars = scratch.table(stars.join(side("x"), "x").join(side("y"), "y").filter(close).select("x", "y"), "minhash-stars")
-    links = confirmed(stars, sets_of(F.explode(F.array("x", "y")), stars, "stars"), "stars")
+    links = confirmed(stars, "stars")
     parts = connected_components(links, scratch, "minhash-first")
 
     # The rest: classes in keys that hold more than one component.
@@ -186,11 +185,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, seed: in
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("key")
     rest = scratch.table(placed.join(mixed, "key").select("cid", "part").distinct(), "minhash-rest")
     scratch.drop("minhash-keys", "minhash-placed")
-    sets = sets_of(F.col("cid"), rest, "rest")
     across = across_parts(rest.join(sets, "cid").select("cid", "part", "set"), percent, scratch)
     across = across.join(stars, ["x", "y"], "left_anti").join(stars.select(F.col("y").alias("x"), F.col("x").alias("y")), ["x", "y"], "left_anti")
-    links = links.unionByName(confirmed(scratch.table(across, "minhash-across"), sets, "across"))
-    scratch.drop("minhash-sets-rest")
+    links = links.unionByName(confirmed(scratch.table(across, "minhash-across"), "across"))
+    scratch.drop("minhash-sets", "minhash-prefix", "minhash-terms")
     parts = connected_components(links, scratch, "minhash-last")
 
     named_parts = classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "rep", F.coalesce("component", "cid").alias("part"))

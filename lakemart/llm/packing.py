@@ -79,7 +79,14 @@ class WordTokens:
         new = set()
         for chunks in split:
             new.update(chunks or ())
-        self._learn(list(new.difference(seen)))
+        new.difference_update(seen)
+        # A word with one stop after it is the word's ids and the stop's.
+        stopped = {c for c in new if c[-1] in ",." and c[-2:-1].isalpha()}
+        plain = new - stopped
+        if stopped:
+            plain.update((c[:-1] for c in stopped), ",.")
+        self._learn(list(plain.difference(seen)))
+        seen.update([(c, seen[c[:-1]] + seen[c[-1]]) for c in stopped])
         get = seen.__getitem__
         return [self.whole(t).tobytes() if cs is None else b"".join(map(get, cs)) for t, cs in zip(texts, split)]
 

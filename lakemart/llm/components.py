@@ -29,13 +29,15 @@ def connected_components(links: DataFrame, scratch: Scratch, name: str = "compon
     before = mark(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # The minima are written, so that the join's sides are plain exchanges, which a hot node lets split.
+        least = scratch.table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-least")
         large = written(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), "odd")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = scratch.table(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-low")
         edges = written(large.join(least, "a").select("b", "m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))), "even")
         now = mark(edges)
         if now == before:
             break
         before = now
+    scratch.drop(f"{name}-odd", f"{name}-least", f"{name}-low")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -111,7 +111,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = 24,
     placed = classes.join(counts, "cid", "left").join(parts.withColumnRenamed("node", "cid"), "cid", "left").select(
         "label", "v", "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "cid").alias("part"))
     names = placed.groupBy("part").agg(F.min("rep").alias("component_id"))
-    placed = placed.join(names, "part").select("label", "v", "n_links", "component_id")
+    placed = placed.join(scratch.table(names, "vectors-names"), "part").select("label", "v", "n_links", "component_id")
     linked = rows.filter(usable).join(placed, ["label", "v"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

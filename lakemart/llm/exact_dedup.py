@@ -62,6 +62,8 @@ def progressive_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     groups = (full.groupBy("_full")
               .agg(F.count(F.lit(1)).alias("group_size"), F.min(F.struct(-F.col("_chars"), F.col("doc_id").isNull(), "doc_id")).alias("_best"))
               .select("_full", "group_size", F.col("_best.doc_id").alias("keep_id")))
+    # Written, so that the join's sides are plain exchanges, which a hot hash lets split.
+    groups = scratch.table(groups, "dedup-groups")
     grouped = full.join(groups, "_full").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), *named)
     alone = (in_slots(keys, alike, "_size", "_prefix", how="left_anti")
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *named))

@@ -193,7 +193,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, seed: in
 
     named_parts = classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "rep", F.coalesce("component", "cid").alias("part"))
     ids = named_parts.groupBy("part").agg(F.min("rep").alias("component_id"))
-    of_class = named_parts.join(ids, "part").select("digest", "component_id")
+    of_class = named_parts.join(scratch.table(ids, "minhash-ids"), "part").select("digest", "component_id")
+    of_class = scratch.table(of_class, "minhash-of-class")
     full = rows.filter("digest is not null").select("doc_id", "n", "digest").join(of_class, "digest", "left").select("doc_id", "n", "component_id")
     empty = rows.filter("digest is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     whole = full.unionByName(empty)

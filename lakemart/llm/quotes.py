@@ -43,7 +43,7 @@ def parse(text: Column) -> dict[str, Column]:
     """``body`` (the text without quoted lines) and ``passages`` (level, hash)."""
     lines = F.split(F.translate(text, "\x02\x03", "  "), "\n", -1)
     marked = F.transform(lines, lambda x: F.struct(level(x).alias("level"), F.regexp_replace(x, MARKS, "").alias("line")))
-    body = F.trim(F.array_join(F.transform(F.filter(marked, lambda x: x["level"] == 0), lambda x: x["line"]), "\n"))
+    body = F.regexp_replace(F.array_join(F.transform(F.filter(marked, lambda x: x["level"] == 0), lambda x: x["line"]), "\n"), r"^\s+|\s+$", "")
     # A mark with the level stands where the level changes; the rest are blanks.
     def cut(all_lines: Column) -> Column:
         return F.transform(all_lines, lambda x, i: F.concat(
@@ -124,7 +124,7 @@ l AS (
   SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g')) AS level, regexp_replace(line, '^[ \t]*(?:>[ \t]*)+', '') AS content
   FROM (SELECT conv_id, turn, role, rank, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM m)),
 b AS (
-  SELECT conv_id, turn, role, rank, text, trim(coalesce(string_agg(content, chr(10) ORDER BY pos) FILTER (WHERE level = 0), '')) AS body
+  SELECT conv_id, turn, role, rank, text, regexp_replace(coalesce(string_agg(content, chr(10) ORDER BY pos) FILTER (WHERE level = 0), ''), '^\s+|\s+$', '', 'g') AS body
   FROM l GROUP BY ALL),
 r AS (
   SELECT conv_id, rank, level, pos, content, sum(starts) OVER (PARTITION BY conv_id, rank ORDER BY pos) AS run

@@ -31,13 +31,14 @@ from lakemart.functions.dates import (
 )
 from lakemart.functions.numeric import (
     abs_error,
-    exact_mean,
-    exact_sum,
     hp_to_kw,
     kg_to_tonnes,
     kmh_to_ms,
     pct_deviation,
     round_keep_null,
+    rounded_mean,
+    rounded_sum,
+    strip,
     to_number,
     try_number,
     week_cos,
@@ -47,10 +48,10 @@ from lakemart.functions.variant import hash_key, parse_json, quote_name, variant
 
 __all__ = [
     "AREA_NAMES", "SPECIES_IDS", "SPECIES_NAMES", "abs_error", "area_id", "concat_key",
-    "date_key", "date_text", "exact_mean", "exact_sum", "hash_key", "hp_to_kw",
+    "date_key", "date_text", "hash_key", "hp_to_kw",
     "is_holiday", "is_weekend", "iso_week", "iso_weekday", "kg_to_tonnes", "kmh_to_ms",
     "lpad_code", "month_of", "one_hot", "parse_json", "pct_deviation", "quote_name",
-    "round_keep_null", "season", "species_id", "strip_dot0", "to_date_dayfirst",
+    "round_keep_null", "rounded_mean", "rounded_sum", "season", "species_id", "strip", "strip_dot0", "to_date_dayfirst",
     "to_date_fmt", "to_date_iso", "to_number", "to_timestamp_iso", "try_number",
     "variant_field", "vessel_group", "week_cos", "week_sin", "week_start", "year_of",
     "zfill_code",

@@ -24,7 +24,7 @@ def to_date_iso(c: Column | str) -> Column:
 def to_date_dayfirst(c: Column | str) -> Column:
     """Day-first text (``15.03.2024``, ``15/03/2024``, ``15-03-2024``, optional time)."""
     text = F.regexp_replace(F.trim(_col(c).cast("string")), r"[/-]", ".")
-    day = F.regexp_extract(text, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", 0)
+    day = F.regexp_extract(text, r"^(\d{1,2}\.\d{1,2}\.\d{4})(?:[ T]\d{1,2}:\d{2}(?::\d{2})?)?$", 1)
     return F.coalesce(F.try_to_date(F.nullif(day, F.lit("")), "d.M.yyyy"), F.try_to_date(_col(c)))
 
 

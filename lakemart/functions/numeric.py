@@ -1,4 +1,4 @@
-"""Number parsing, unit conversion, exact sums and forecast arithmetic."""
+"""Number parsing, unit conversion, rounded sums and forecast arithmetic."""
 
 from __future__ import annotations
 
@@ -12,6 +12,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: Column | str) -> Column:
+    """Text without any white space at its ends (not blanks only)."""
+    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+
+
 def to_number(c: Column | str) -> Column:
     """Norwegian number text: no-break spaces and spaces dropped, decimal comma
     to point; NULL when the rest is not a number."""
@@ -22,7 +27,7 @@ def to_number(c: Column | str) -> Column:
 
 def try_number(c: Column | str) -> Column:
     """Plain text to double, NULL when not a number."""
-    return F.trim(_col(c).cast("string")).try_cast("double")
+    return strip(_col(c).cast("string")).try_cast("double")
 
 
 def hp_to_kw(c: Column | str) -> Column:
@@ -41,15 +46,15 @@ def round_keep_null(c: Column | str, places: int) -> Column:
     return F.round(_col(c), places)
 
 
-def exact_sum(c: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """Sum through DECIMAL: independent of task order, so equal on any cluster
-    layout. Inputs must have at most ``scale`` decimals."""
-    return F.sum(_col(c).cast(f"decimal({precision},{scale})")).cast("double")
+def rounded_sum(c: Column | str, places: int = 6) -> Column:
+    """Sum of the values as they are, rounded once at the end: the places that
+    depend on the order of addition are not reported."""
+    return F.round(F.sum(_col(c)), places)
 
 
-def exact_mean(c: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """Mean as exact decimal sum divided by the non-NULL count (NULL if none)."""
-    return exact_sum(c, scale, precision) / F.nullif(F.count(_col(c)), F.lit(0)).cast("double")
+def rounded_mean(c: Column | str, places: int = 9) -> Column:
+    """Mean of the non-NULL values as they are, rounded once at the end."""
+    return F.round(F.avg(_col(c)), places)
 
 
 def _cycle(week: Column | str) -> Column:

@@ -22,9 +22,11 @@ from lakemart.functions import (
     hp_to_kw,
     kmh_to_ms,
     quote_name,
+    strip,
     strip_dot0,
     to_date_dayfirst,
     to_number,
+    try_number,
     vessel_group,
     week_start,
     zfill_code,
@@ -57,7 +59,7 @@ N_INVALID = 1
 def clean_codes(lines: DataFrame) -> DataFrame:
     """Trimmed species code; area code without a trailing ``.0``, padded to two
     characters (never cut)."""
-    return (lines.withColumn(SPECIES, F.trim(quote_name(SPECIES)))
+    return (lines.withColumn(SPECIES, strip(quote_name(SPECIES)))
             .withColumn(AREA, zfill_code(strip_dot0(quote_name(AREA)), 2)))
 
 
@@ -85,7 +87,7 @@ def select_catch(lines: DataFrame, species: Iterable[str], areas: Iterable[str],
 def valid_line() -> Column:
     """Vessel id present and not blank, weight > 0 (NULL counts as invalid)."""
     v = quote_name(VESSEL)
-    return F.coalesce(v.isNotNull() & (F.trim(v) != "") & (F.col("weight_num") > 0), F.lit(False))
+    return F.coalesce(v.isNotNull() & (strip(v) != "") & (F.col("weight_num") > 0), F.lit(False))
 
 
 def line_order(df: DataFrame) -> list[Column]:
@@ -150,7 +152,7 @@ def latest_non_null(df: DataFrame, key: str, columns: Sequence[str], order: Sequ
 def width_by_vessel(register: DataFrame, key: str = "vessel_id", width: str = "width",
                     year: str = "register_year") -> DataFrame:
     """First non-NULL width per vessel, newest register year first."""
-    return (register.withColumn(width, to_number(F.col(width)))
+    return (register.withColumn(width, try_number(F.col(width)))
             .groupBy(key).agg(F.max_by(width, F.when(F.col(width).isNotNull(), F.col(year))).alias("width_m")))
 
 
@@ -159,7 +161,7 @@ def vessel_master(lines: DataFrame, widths: DataFrame) -> DataFrame:
     attrs = [c for c in ("Registreringsmerke (seddel)", "Fartøynavn", "Fartøytype", "Fartøykommune",
                          "Fartøynasjonalitet", "Største lengde", "Lengdegruppe", "Bruttotonnasje 1969",
                          "Bruttotonnasje annen", "Byggeår", "Motorkraft")]
-    source = (lines.filter(quote_name(VESSEL).isNotNull() & (F.trim(quote_name(VESSEL)) != ""))
+    source = (lines.filter(quote_name(VESSEL).isNotNull() & (strip(quote_name(VESSEL)) != ""))
               .withColumn("vessel_id", quote_name(VESSEL).cast("string")))
     latest = latest_non_null(source, "vessel_id", attrs, ["landing_date", DOC, LINE])
     merged = latest.join(widths, "vessel_id", "left")

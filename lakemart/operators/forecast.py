@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import abs_error
-from lakemart.operators.features import TARGET
+from lakemart.operators.features import ORDER, TARGET
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class ForestParams:
     min_instances_per_node: int = 4
     feature_subset: str = "0.5"
     seed: int = 42
-    max_memory_mb: int = 256
+    max_memory_mb: int = 512
 
 
 def forest_pipeline(features: Sequence[str], params: ForestParams = ForestParams(),
@@ -55,27 +55,19 @@ def with_species_text(df: DataFrame) -> DataFrame:
     return df.withColumn("species_id_text", F.col("species_id").cast("string"))
 
 
-ROWS_PER_PARTITION = 1250
-
-
-def training_partitions(n_rows: int, parallelism: int, per_partition: int = ROWS_PER_PARTITION) -> int:
-    """Partitions for tree growing: each level aggregates one task per
-    partition, so a small table in many partitions pays task overhead and one
-    partition leaves cores idle."""
-    return max(1, min(parallelism, -(-n_rows // per_partition)))
+#: Partitions of the training rows. Spark seeds tree bagging per partition, so
+#: a fixed number and order make the model the same on any cluster.
+TRAIN_PARTITIONS = 8
 
 
 def fit(train: DataFrame, features: Sequence[str], params: ForestParams = ForestParams(),
         encode_species: bool = False) -> PipelineModel:
-    cached = train.persist()  # so the checkpoint computes the input once, not twice
-    rows = cached.checkpoint(eager=True)
-    cached.unpersist()
-    n = training_partitions(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
-    rows = rows.repartition(n)
+    """Fits on the rows hashed by series and week into a fixed number of sorted
+    partitions; the layout is checkpointed and kept for the passes of tree growing."""
     if encode_species:
-        rows = with_species_text(rows)
-    # Cached for the many passes of tree growing; a lost block is rebuilt from the checkpoint.
-    rows = rows.persist()
+        train = with_species_text(train)
+    rows = (train.repartition(TRAIN_PARTITIONS, "species_code", "area_code", ORDER)
+            .sortWithinPartitions("species_code", "species_name", "area_code", "area_name", ORDER).checkpoint(eager=True).persist())
     try:
         return forest_pipeline(features, params, encode_species).fit(rows)
     finally:

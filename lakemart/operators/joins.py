@@ -36,19 +36,3 @@ def broadcast_if_fits(df: DataFrame, bound: DataFrame | None = None, expansion:
     """``F.broadcast(df)`` when ``bound`` (default ``df``), whose size bounds
     ``df``'s, is estimated under the broadcast threshold; else ``df``."""
     return F.broadcast(df) if fits_broadcast(df if bound is None else bound, expansion, threshold) else df
-
-
-def spread_if_narrow(df: DataFrame, *keys: str, min_bytes: int = 4 << 20) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` when its scan yields fewer partitions
-    than the cluster can run at once (e.g. a file written as one Parquet row
-    group) and it is not tiny.
-
-    Choose ``keys`` equal to (or a subset of) the next operator's grouping
-    keys: the following aggregate or window then reuses this partitioning, so
-    the step replaces a shuffle instead of adding one. Scans that are already
-    split wide enough are returned unchanged.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism or estimated_bytes(df) < min_bytes:
-        return df
-    return df.repartition(parallelism, *keys)

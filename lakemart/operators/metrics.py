@@ -1,7 +1,7 @@
 """Forecast evaluation as aggregates (no driver-side loops).
 
-Sums go through DECIMAL at the given scale so results are independent of
-the order rows meet on the cluster. Divisions by a zero total give NULL.
+Errors are taken as they are and each result is rounded once at the end, so
+the order in which rows meet does not show. Divisions by a zero total give NULL.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions import exact_sum
+from lakemart.functions import rounded_sum
 
 ACTUAL = "target_kg"
 PREDICTED = "predicted_kg"
@@ -23,50 +23,50 @@ def _ratio(num: Column, den: Column) -> Column:
     return num / F.nullif(den, F.lit(0.0))
 
 
-def metric_columns(scale: int = 3) -> list[Column]:
+def metric_columns(places: int = 6) -> list[Column]:
     """MAE, RMSE, WMAPE (percent) over the rows of a group."""
     n = F.count(F.lit(1)).cast("double")
-    mae = _ratio(exact_sum(_err(), scale), n)
-    mse = _ratio(exact_sum(_err() * _err(), 2 * scale, 38), n)
-    wmape = _ratio(exact_sum(_err(), scale), exact_sum(F.abs(ACTUAL), scale)) * F.lit(100.0)
-    return [mae.alias("mae"), F.sqrt(mse).alias("rmse"), wmape.alias("wmape")]
+    mae = _ratio(F.sum(_err()), n)
+    mse = _ratio(F.sum(_err() * _err()), n)
+    wmape = _ratio(F.sum(_err()), F.sum(F.abs(ACTUAL))) * F.lit(100.0)
+    return [F.round(mae, places).alias("mae"), F.round(F.sqrt(mse), places).alias("rmse"), F.round(wmape, places).alias("wmape")]
 
 
-def overall(pred: DataFrame, scale: int = 3) -> DataFrame:
-    return pred.agg(F.count(F.lit(1)).alias("n_obs"), *metric_columns(scale))
+def overall(pred: DataFrame, places: int = 6) -> DataFrame:
+    return pred.agg(F.count(F.lit(1)).alias("n_obs"), *metric_columns(places))
 
 
-def mae(pred: DataFrame, scale: int = 3) -> DataFrame:
-    return overall(pred, scale).select("mae")
+def mae(pred: DataFrame, places: int = 6) -> DataFrame:
+    return overall(pred, places).select("mae")
 
 
-def rmse(pred: DataFrame, scale: int = 3) -> DataFrame:
-    return overall(pred, scale).select("rmse")
+def rmse(pred: DataFrame, places: int = 6) -> DataFrame:
+    return overall(pred, places).select("rmse")
 
 
-def wmape(pred: DataFrame, scale: int = 3) -> DataFrame:
-    return overall(pred, scale).select("wmape")
+def wmape(pred: DataFrame, places: int = 6) -> DataFrame:
+    return overall(pred, places).select("wmape")
 
 
-def by_species(pred: DataFrame, key: str = "species_name", scale: int = 3) -> DataFrame:
+def by_species(pred: DataFrame, key: str = "species_name", places: int = 6) -> DataFrame:
     """Per species: n, total actual and predicted, deviation (kg and %), MAE,
     WMAPE; worst WMAPE first."""
-    total_actual = exact_sum(ACTUAL, scale)
-    total_pred = exact_sum(PREDICTED, scale)
+    total_actual = rounded_sum(ACTUAL, places)
+    total_pred = rounded_sum(PREDICTED, places)
     out = pred.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_obs"),
         total_actual.alias("total_actual_kg"),
         total_pred.alias("total_predicted_kg"),
-        *[c for c in metric_columns(scale) if True],
+        *metric_columns(places),
     )
-    out = out.withColumn("deviation_kg", F.col("total_predicted_kg") - F.col("total_actual_kg"))
-    out = out.withColumn("deviation_pct", _ratio(F.col("deviation_kg"), F.col("total_actual_kg")) * F.lit(100.0))
+    out = out.withColumn("deviation_kg", F.round(F.col("total_predicted_kg") - F.col("total_actual_kg"), places))
+    out = out.withColumn("deviation_pct", F.round(_ratio(F.col("deviation_kg"), F.col("total_actual_kg")) * F.lit(100.0), places))
     return out.select(key, "n_obs", "total_actual_kg", "total_predicted_kg", "deviation_kg",
                       "deviation_pct", "mae", "wmape").orderBy(F.desc_nulls_last("wmape"), key)
 
 
-def by_target_week(pred: DataFrame, scale: int = 3) -> DataFrame:
+def by_target_week(pred: DataFrame, places: int = 6) -> DataFrame:
     """Actual and predicted totals per target week (the chart behind the model)."""
     return (pred.groupBy("target_week")
-            .agg(exact_sum(ACTUAL, scale).alias("target_kg"), exact_sum(PREDICTED, scale).alias("predicted_kg"))
+            .agg(rounded_sum(ACTUAL, places).alias("target_kg"), rounded_sum(PREDICTED, places).alias("predicted_kg"))
             .orderBy("target_week"))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions import exact_mean
+from lakemart.functions import rounded_mean
 
 HISTORY_COLUMNS = ("week_start", "species_code", "species_name", "area_code", "area_name",
                    "landed_kg", "n_notes", "active_vessels", "sea_temp_c", "wave_height_m",
@@ -97,10 +97,10 @@ def kg_by_species_series(series: DataFrame) -> DataFrame:
 
 def sea_by_week(mart: DataFrame, places: int = 6) -> DataFrame:
     """Suggested extra charts: mean wave height and sea temperature per week
-    (summed as decimals with ``places`` digits, so independent of row order),
+    (rounded to ``places`` at the end),
     and number of landings."""
     return mart.groupBy("week_start").agg(
-        exact_mean("wave_height_m", places, 38).alias("wave_height_m"),
-        exact_mean("sea_temp_c", places, 38).alias("sea_temp_c"),
+        rounded_mean("wave_height_m", places).alias("wave_height_m"),
+        rounded_mean("sea_temp_c", places).alias("sea_temp_c"),
         F.sum("n_notes").alias("n_notes"),
     )

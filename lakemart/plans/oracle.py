@@ -5,7 +5,7 @@ all of them (DuckDB only evaluates the ones referenced). Conventions shared
 with the Spark side:
 
 * dedup picks the first row by every non-key column ascending, NULLs last;
-* means are exact decimal sums over the non-NULL count;
+* means are of the values as they are, rounded at the end;
 * DuckDB integer results are cast to the Spark types (INTEGER, BIGINT).
 """
 
@@ -14,9 +14,8 @@ from __future__ import annotations
 _GRAIN = "week_start, species_code, species_name, area_code, area_name"
 
 
-def _exact_mean(col: str, scale: int = 2) -> str:
-    return (f"CAST(sum(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE)"
-            f" / CAST(nullif(count({col}), 0) AS DOUBLE)")
+def _mean(col: str) -> str:
+    return f"round(avg({col}), 9)"
 
 
 def _vessel_rows(build_year: str, power: str, year: int) -> str:
@@ -123,15 +122,15 @@ BASE: dict[str, str] = {
     FROM lv GROUP BY {_GRAIN}""",
     "week_fleet": f"""
     SELECT {_GRAIN}, CAST(count(DISTINCT vessel_id) AS BIGINT) AS active_vessels,
-           {_exact_mean('length_m')} AS avg_length_m,
-           {_exact_mean('power_kw')} AS avg_power_kw
+           {_mean('length_m')} AS avg_length_m,
+           {_mean('power_kw')} AS avg_power_kw
     FROM (SELECT DISTINCT {_GRAIN}, vessel_id, length_m, power_kw FROM lv)
     GROUP BY {_GRAIN}""",
     "week_sea": f"""
     SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, area_code,
-           {_exact_mean('sea_temp_c', 3)} AS sea_temp_c,
-           {_exact_mean('wave_height_m', 3)} AS wave_height_m,
-           {_exact_mean('current_speed_ms', 3)} AS current_speed_ms
+           {_mean('sea_temp_c')} AS sea_temp_c,
+           {_mean('wave_height_m')} AS wave_height_m,
+           {_mean('current_speed_ms')} AS current_speed_ms
     FROM silver_sea GROUP BY 1, 2""",
     "week_calendar": """
     SELECT DISTINCT week_start, iso_week, month, season FROM calendar WHERE weekday = 1""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions import kmh_to_ms, quote_name, to_timestamp_iso
+from lakemart.functions import kmh_to_ms, quote_name, to_timestamp_iso, week_start
 from lakemart.operators import extract as ex
 from lakemart.plans import bindings as b
 from lakemart.plans import layers
@@ -121,13 +121,13 @@ SELECT v.vessel_id AS "Fartøy ID", v."Registreringsmerke (seddel)" AS "Registre
        coalesce({_number('v."Bruttotonnasje 1969"')}, {_number('v."Bruttotonnasje annen"')}) AS "Bruttotonnasje",
        {_number('v."Byggeår"')} AS "Byggeår", {_number('v."Motorkraft"')} / 1.36 AS "Motorkraft (kW)",
        v."Fartøykommune" AS "Hjemkommune", v."Fartøynasjonalitet" AS "Nasjonalitet"
-FROM sample_latest v LEFT JOIN widths w ON v.vessel_id = w.vessel_id"""
+FROM selected_latest v LEFT JOIN widths w ON v.vessel_id = w.vessel_id"""
 
 
 def xsql(final: str, start: str = START, end: str = END) -> str:
     """Base CTEs plus the extract CTEs."""
     ctes = {"catch": _CATCH, "clean": _CLEAN, "selected": _selected(start, end), "sample": _SAMPLE,
-            "sample_latest": _latest("sample"), "registers": _REGISTER_SQL, "widths": _WIDTHS,
+            "selected_latest": _latest("selected"), "registers": _REGISTER_SQL, "widths": _WIDTHS,
             "master": _MASTER}
     extra = ",\n".join(f"{k} AS ({v}\n)" for k, v in ctes.items())
     return sql(f", {extra}\n{final}")
@@ -197,10 +197,11 @@ def set_union_sample(spark, sf):
 
 @register("sort_extract", xsql("SELECT * FROM (" + _LANDING_ROWS + ")"))
 def sort_extract(spark, sf):
-    """The extract in its file order (grain, date, document, line)."""
+    """The extract in its file order (week, species, area, date, document, line)."""
     sample = _sample(spark, sf)
-    rows = ex.landing_rows(sample, raw.EXTRACT_NAMES)
-    return rows.orderBy("Fangstområde (kode)", "Art FAO (kode)", "Landingsdato", "Seddelnummer")
+    # Sorted on dates, before they become day-first text; the look-up is broadcast and keeps the order.
+    return ex.landing_rows(sample.orderBy(week_start("landing_date"), quote_name(ex.SPECIES), quote_name(ex.AREA), "landing_date",
+                                          quote_name(ex.DOC), quote_name(ex.LINE)), raw.EXTRACT_NAMES)
 
 
 @register("fn_concat_key", xsql("""
@@ -246,9 +247,9 @@ def join_width(spark, sf):
 
 @register("extract_vessels", xsql("SELECT * FROM master"))
 def extract_vessels(spark, sf):
-    """The vessel file of the extract: newest non-NULL attributes of the
-    sampled lines, register width, length group, engine power in kW."""
-    return ex.vessel_master(_sample(spark, sf), _widths(spark, sf))
+    """The vessel file of the extract: newest non-NULL attributes of all
+    selected lines, register width, length group, engine power in kW."""
+    return ex.vessel_master(_selected_df(spark, sf), _widths(spark, sf))
 
 
 # -- hourly replies -----------------------------------------------------------------------------

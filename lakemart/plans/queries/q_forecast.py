@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakemart.operators import features as feat
 from lakemart.operators import forecast as fc
 from lakemart.operators import metrics
+from lakemart.plans import bindings as b
 from lakemart.plans import layers
 from lakemart.plans.catalog import register
 from lakemart.plans.oracle import sql
@@ -32,7 +33,7 @@ def _model_rows(spark, sf):
 
 def _split(spark, sf):
     rows = _model_rows(spark, sf)
-    return layers.train_rows(rows), layers.test_rows(rows)
+    return layers.train_rows(rows, year=b.TEST_YEAR), layers.test_rows(rows)
 
 
 def _model(spark, sf, params: fc.ForestParams = fc.ForestParams(), encode_species: bool = False):
@@ -73,7 +74,7 @@ def filt_complete(spark, sf):
 
 
 @register("filt_train", sql("""
-SELECT species_code, area_code, week_start, target_week FROM model_rows WHERE target_week <= DATE '2001-06-25'"""))
+SELECT species_code, area_code, week_start, target_week FROM model_rows WHERE target_week <= DATE '2001-06-25' AND target_year = 2001"""))
 def filt_train(spark, sf):
     train, _ = _split(spark, sf)
     return train.select("species_code", "area_code", "week_start", "target_week")
@@ -87,7 +88,7 @@ def filt_test(spark, sf):
 
 
 @register("ml_split", sql("""
-SELECT 'train' AS part, CAST(count(*) AS BIGINT) AS rows FROM model_rows WHERE target_week <= DATE '2001-06-25'
+SELECT 'train' AS part, CAST(count(*) AS BIGINT) AS rows FROM model_rows WHERE target_week <= DATE '2001-06-25' AND target_year = 2001
 UNION ALL
 SELECT 'test', CAST(count(*) AS BIGINT) FROM model_rows WHERE target_year = 2001 AND target_month = 7"""))
 def ml_split(spark, sf):
@@ -100,9 +101,9 @@ def ml_split(spark, sf):
 SELECT species_code, area_code, week_start, landed_kg, round(mean_8, 9) AS mean_8, round(lag_8, 9) AS lag_8
 FROM trend"""))
 def win_trend_grouped(spark, sf):
-    """Trend features by ``applyInPandas`` (cross-check of the window version;
-    pandas rolling sums differ in the last bits, compared at 9 places)."""
-    out = feat.add_trend_grouped(layers.mart(spark, sf))
+    """Trend features of every series, at 9 places (one window exchange; no
+    series is gathered in a Python worker)."""
+    out = feat.add_trend(layers.mart(spark, sf))
     return out.select("species_code", "area_code", "week_start", "landed_kg",
                       F.round("mean_8", 9).alias("mean_8"), F.round("lag_8", 9).alias("lag_8"))
 

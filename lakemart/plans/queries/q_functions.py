@@ -87,7 +87,7 @@ def fn_try_number(spark, sf):
 SELECT "Dokumentnummer", "Linjenummer", trim("Art FAO (kode)") AS species_code FROM catch"""))
 def fn_strip(spark, sf):
     lines = _lines(spark, sf)
-    return lines.select(_c(ex.DOC), _c(ex.LINE), F.trim(_c(ex.SPECIES)).alias("species_code"))
+    return lines.select(_c(ex.DOC), _c(ex.LINE), fn.strip(_c(ex.SPECIES)).alias("species_code"))
 
 
 @register("fn_coalesce", xsql(f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions import kg_to_tonnes, pct_deviation
+from lakemart.functions import kg_to_tonnes, pct_deviation, rounded_sum
 from lakemart.operators import metrics, serving
 from lakemart.plans import layers
 from lakemart.plans.catalog import register
@@ -25,8 +25,8 @@ def _series(spark, sf):
     return serving.forecast_series(layers.pred_baseline(spark, sf))
 
 
-def _exact(col: str, scale: int = 3) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def _total(col: str, places: int = 6) -> str:
+    return f"round(sum({col}), {places})"
 
 
 # -- datasets -------------------------------------------------------------------
@@ -96,18 +96,18 @@ def sort_agg_desc(spark, sf):
 
 
 @register("dash_week_series", sql(f"""
-SELECT week_start, series, {_exact('kg')} AS kg FROM series GROUP BY 1, 2 ORDER BY 1, 2"""))
+SELECT week_start, series, {_total('kg')} AS kg FROM series GROUP BY 1, 2 ORDER BY 1, 2"""))
 def dash_week_series(spark, sf):
     s = _series(spark, sf)
-    return (s.groupBy("week_start", "series").agg(F.sum(F.col("kg").cast("decimal(18,3)")).cast("double").alias("kg"))
+    return (s.groupBy("week_start", "series").agg(rounded_sum("kg").alias("kg"))
             .orderBy("week_start", "series"))
 
 
 @register("dash_species_series", sql(f"""
-SELECT species_name, series, {_exact('kg')} AS kg FROM series GROUP BY 1, 2 ORDER BY 1, 2"""))
+SELECT species_name, series, {_total('kg')} AS kg FROM series GROUP BY 1, 2 ORDER BY 1, 2"""))
 def dash_species_series(spark, sf):
     s = _series(spark, sf)
-    return (s.groupBy("species_name", "series").agg(F.sum(F.col("kg").cast("decimal(18,3)")).cast("double").alias("kg"))
+    return (s.groupBy("species_name", "series").agg(rounded_sum("kg").alias("kg"))
             .orderBy("species_name", "series"))
 
 
@@ -146,9 +146,7 @@ def dash_facet_count_area(spark, sf):
 
 @register("dash_sea_series", sql("""
 SELECT week_start,
-       CAST(sum(CAST(wave_height_m AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(wave_height_m) AS DOUBLE)
-         AS wave_height_m,
-       CAST(sum(CAST(sea_temp_c AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(sea_temp_c) AS DOUBLE) AS sea_temp_c,
+       round(avg(wave_height_m), 6) AS wave_height_m, round(avg(sea_temp_c), 6) AS sea_temp_c,
        CAST(sum(n_notes) AS BIGINT) AS n_notes FROM mart GROUP BY 1"""))
 def dash_sea_series(spark, sf):
     return serving.sea_by_week(layers.mart(spark, sf))
@@ -157,9 +155,9 @@ def dash_sea_series(spark, sf):
 # -- metrics on PRED ---------------------------------------------------------------
 
 _ERR = "abs(target_kg - predicted_kg)"
-_MAE = f"{_exact(_ERR)} / CAST(count(*) AS DOUBLE)"
-_RMSE = f"sqrt(CAST(sum(CAST({_ERR} * {_ERR} AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(*) AS DOUBLE))"
-_WMAPE = f"{_exact(_ERR)} / nullif({_exact('abs(target_kg)')}, 0.0) * 100.0"
+_MAE = f"round(avg({_ERR}), 6)"
+_RMSE = f"round(sqrt(avg({_ERR} * {_ERR})), 6)"
+_WMAPE = f"round(sum({_ERR}) / nullif(sum(abs(target_kg)), 0.0) * 100.0, 6)"
 
 
 @register("agg_mae", sql(f"SELECT {_MAE} AS mae FROM pred"))
@@ -185,11 +183,11 @@ def ml_evaluate(spark, sf):
 
 _BY_SPECIES = f"""
 SELECT species_name, n_obs, total_actual_kg, total_predicted_kg,
-       total_predicted_kg - total_actual_kg AS deviation_kg,
-       (total_predicted_kg - total_actual_kg) / nullif(total_actual_kg, 0.0) * 100.0 AS deviation_pct,
+       round(total_predicted_kg - total_actual_kg, 6) AS deviation_kg,
+       round((total_predicted_kg - total_actual_kg) / nullif(total_actual_kg, 0.0) * 100.0, 6) AS deviation_pct,
        mae, wmape
 FROM (SELECT species_name, CAST(count(*) AS BIGINT) AS n_obs,
-             {_exact('target_kg')} AS total_actual_kg, {_exact('predicted_kg')} AS total_predicted_kg,
+             {_total('target_kg')} AS total_actual_kg, {_total('predicted_kg')} AS total_predicted_kg,
              {_MAE} AS mae, {_WMAPE} AS wmape
       FROM pred GROUP BY 1)
 ORDER BY wmape DESC NULLS LAST, species_name"""
@@ -206,7 +204,7 @@ def sort_metrics(spark, sf):
 
 
 @register("agg_pred_by_week", sql(f"""
-SELECT target_week, {_exact('target_kg')} AS target_kg, {_exact('predicted_kg')} AS predicted_kg
+SELECT target_week, {_total('target_kg')} AS target_kg, {_total('predicted_kg')} AS predicted_kg
 FROM pred GROUP BY 1 ORDER BY 1"""))
 def agg_pred_by_week(spark, sf):
     return metrics.by_target_week(layers.pred_baseline(spark, sf))

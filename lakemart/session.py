@@ -54,8 +54,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Falls back to a fresh local folder only when the session names none, as in
-    unit tests on one machine.
+    On a cluster a session without one is an error: a machine-local folder would
+    hold a part of each table on each machine. Only a local master (tests, one
+    machine) gets a fresh temporary folder.
     """
     global _LOCAL_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -65,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         root = _LOCAL_ROOT

@@ -14,20 +14,19 @@ class SchemaDriftError(RuntimeError):
     """A source file lacks columns the job requires."""
 
 
-def resolve_column(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
-    """First candidate present in ``columns``, matched trimmed and case-insensitive."""
-    lookup = {str(c).strip().lower(): c for c in columns}
-    for cand in candidates:
-        hit = lookup.get(cand.strip().lower())
-        if hit is not None:
-            return hit
-    return None
+def normalised_header(df: DataFrame) -> dict[str, str]:
+    """Trimmed lower-case header -> column name; names that clash fail."""
+    names: dict[str, str] = {}
+    for column in df.columns:
+        if names.setdefault(column.strip().lower(), column) != column:
+            raise SchemaDriftError(f"columns {names[column.strip().lower()]!r} and {column!r} differ in case or blanks only")
+    return names
 
 
 def read_csv_strings(spark: SparkSession, path: str | list[str], sep: str = ";") -> DataFrame:
     """Header CSV with every column as text (no type inference)."""
     return (spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-            .option("encoding", "UTF-8").csv(path))
+            .option("encoding", "UTF-8").option("enforceSchema", False).csv(path))
 
 
 def read_years(spark: SparkSession, paths: Mapping[int, str], required: Sequence[str], sep: str = ";",
@@ -64,13 +63,13 @@ def register_union(frames: Mapping[int, DataFrame], columns: Mapping[str, Sequen
     """
     parts = []
     for year, df in sorted(frames.items(), reverse=True):
-        cols = []
+        header, cols = normalised_header(df), []
         for out_name, candidates in columns.items():
-            src = resolve_column(df.columns, candidates)
-            if src is None:
+            known = [header[key] for key in (c.strip().lower() for c in candidates) if key in header]
+            if not known:
                 raise SchemaDriftError(f"register {year}: no column for {out_name} "
                                        f"(tried {list(candidates)}; have {df.columns})")
-            cols.append(quote_name(src).alias(out_name))
+            cols.append(quote_name(known[0]).alias(out_name))
         parts.append(df.select(*cols, F.lit(year).alias(year_column)))
     out = parts[0]
     for p in parts[1:]:

@@ -31,13 +31,13 @@ from lakemart.functions.dates import (
 )
 from lakemart.functions.numeric import (
     abs_error,
+    decimal_mean,
+    decimal_sum,
     hp_to_kw,
     kg_to_tonnes,
     kmh_to_ms,
     pct_deviation,
     round_keep_null,
-    rounded_mean,
-    rounded_sum,
     strip,
     to_number,
     try_number,
@@ -51,7 +51,7 @@ __all__ = [
     "date_key", "date_text", "hash_key", "hp_to_kw",
     "is_holiday", "is_weekend", "iso_week", "iso_weekday", "kg_to_tonnes", "kmh_to_ms",
     "lpad_code", "month_of", "one_hot", "parse_json", "pct_deviation", "quote_name",
-    "round_keep_null", "rounded_mean", "rounded_sum", "season", "species_id", "strip", "strip_dot0", "to_date_dayfirst",
+    "round_keep_null", "decimal_mean", "decimal_sum", "season", "species_id", "strip", "strip_dot0", "to_date_dayfirst",
     "to_date_fmt", "to_date_iso", "to_number", "to_timestamp_iso", "try_number",
     "variant_field", "vessel_group", "week_cos", "week_sin", "week_start", "year_of",
     "zfill_code",

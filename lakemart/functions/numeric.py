@@ -1,4 +1,4 @@
-"""Number parsing, unit conversion, rounded sums and forecast arithmetic."""
+"""Number parsing, unit conversion, decimal sums and forecast arithmetic."""
 
 from __future__ import annotations
 
@@ -46,15 +46,16 @@ def round_keep_null(c: Column | str, places: int) -> Column:
     return F.round(_col(c), places)
 
 
-def rounded_sum(c: Column | str, places: int = 6) -> Column:
-    """Sum of the values as they are, rounded once at the end: the places that
-    depend on the order of addition are not reported."""
-    return F.round(F.sum(_col(c)), places)
+def decimal_sum(c: Column | str, scale: int = 9) -> Column:
+    """Sum in DECIMAL(38, scale): independent of the order of rows, so equal on
+    any cluster layout. Nine places are more than a double holds from 10 million
+    on; only digits beyond them are rounded, value by value."""
+    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast("double")
 
 
-def rounded_mean(c: Column | str, places: int = 9) -> Column:
-    """Mean of the non-NULL values as they are, rounded once at the end."""
-    return F.round(F.avg(_col(c)), places)
+def decimal_mean(c: Column | str, scale: int = 9) -> Column:
+    """Mean of the non-NULL values by ``decimal_sum`` (NULL if there are none)."""
+    return decimal_sum(c, scale) / F.nullif(F.count(_col(c)), F.lit(0)).cast("double")
 
 
 def _cycle(week: Column | str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions import rounded_sum
+from lakemart.functions import decimal_sum
 
 ACTUAL = "target_kg"
 PREDICTED = "predicted_kg"
@@ -51,8 +51,8 @@ def wmape(pred: DataFrame, places: int = 6) -> DataFrame:
 def by_species(pred: DataFrame, key: str = "species_name", places: int = 6) -> DataFrame:
     """Per species: n, total actual and predicted, deviation (kg and %), MAE,
     WMAPE; worst WMAPE first."""
-    total_actual = rounded_sum(ACTUAL, places)
-    total_pred = rounded_sum(PREDICTED, places)
+    total_actual = decimal_sum(ACTUAL)
+    total_pred = decimal_sum(PREDICTED)
     out = pred.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_obs"),
         total_actual.alias("total_actual_kg"),
@@ -65,8 +65,8 @@ def by_species(pred: DataFrame, key: str = "species_name", places: int = 6) -> D
                       "deviation_pct", "mae", "wmape").orderBy(F.desc_nulls_last("wmape"), key)
 
 
-def by_target_week(pred: DataFrame, places: int = 6) -> DataFrame:
+def by_target_week(pred: DataFrame) -> DataFrame:
     """Actual and predicted totals per target week (the chart behind the model)."""
     return (pred.groupBy("target_week")
-            .agg(rounded_sum(ACTUAL, places).alias("target_kg"), rounded_sum(PREDICTED, places).alias("predicted_kg"))
+            .agg(decimal_sum(ACTUAL).alias("target_kg"), decimal_sum(PREDICTED).alias("predicted_kg"))
             .orderBy("target_week"))

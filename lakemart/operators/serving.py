@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions import rounded_mean
+from lakemart.functions import decimal_mean
 
 HISTORY_COLUMNS = ("week_start", "species_code", "species_name", "area_code", "area_name",
                    "landed_kg", "n_notes", "active_vessels", "sea_temp_c", "wave_height_m",
@@ -95,12 +95,12 @@ def kg_by_species_series(series: DataFrame) -> DataFrame:
             .orderBy("species_name", "series"))
 
 
-def sea_by_week(mart: DataFrame, places: int = 6) -> DataFrame:
+def sea_by_week(mart: DataFrame) -> DataFrame:
     """Suggested extra charts: mean wave height and sea temperature per week
-    (rounded to ``places`` at the end),
+    (rounded to six places at the end),
     and number of landings."""
     return mart.groupBy("week_start").agg(
-        rounded_mean("wave_height_m", places).alias("wave_height_m"),
-        rounded_mean("sea_temp_c", places).alias("sea_temp_c"),
+        F.round(decimal_mean("wave_height_m"), 6).alias("wave_height_m"),
+        F.round(decimal_mean("sea_temp_c"), 6).alias("sea_temp_c"),
         F.sum("n_notes").alias("n_notes"),
     )

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import lpad_code, vessel_group
 from lakemart.operators.joins import broadcast_if_fits
-from lakemart.sources.calendar import calendar, fixed_holidays
+from lakemart.sources.calendar import calendar_of
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -33,8 +33,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Binding constants: which driver values play the invalid rows of the source.
 NULL_VESSEL_TAX = 0.08          # l_tax = 0.08 -> vessel id missing
 NULL_WEIGHT_DISCOUNT = 0.0      # l_discount = 0 -> weight missing
-CALENDAR_START = "1995-01-01"
-CALENDAR_END = "2001-12-31"
 # Species ids for the bound species codes (p_type); the rest get 99.
 BOUND_SPECIES_IDS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3}
 # Holdout for the bound data (sea readings end 2001-08-01).
@@ -156,9 +154,11 @@ def sea_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def calendar_table(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
-    years = range(int(start[:4]), int(end[:4]) + 1)
-    return calendar(spark, start, end, fixed_holidays(years))
+def calendar_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar over all landing and sea dates of the given tables."""
+    t = Tables(spark, sf_dir)
+    return calendar_of(t.lineitem.select(F.col("l_shipdate").cast("date").alias("date"))
+                       .unionByName(t.orders.select(F.col("o_orderdate").cast("date").alias("date"))))
 
 
 def hourly_replies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,13 +27,13 @@ def silver_sea(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean_sea(b.sea_raw(spark, sf_dir))
 
 
-def silver_calendar(spark: SparkSession) -> DataFrame:
-    return b.calendar_table(spark)
+def silver_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.calendar_table(spark, sf_dir)
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.weekly_mart(silver_landings(spark, sf_dir), silver_vessels(spark, sf_dir),
-                            silver_sea(spark, sf_dir), silver_calendar(spark),
+                            silver_sea(spark, sf_dir), silver_calendar(spark, sf_dir),
                             species_ids=b.BOUND_SPECIES_IDS,
                             broadcast_vessels=b.vessels_fit_broadcast(spark, sf_dir))
 

@@ -5,7 +5,7 @@ all of them (DuckDB only evaluates the ones referenced). Conventions shared
 with the Spark side:
 
 * dedup picks the first row by every non-key column ascending, NULLs last;
-* means are of the values as they are, rounded at the end;
+* means are decimal sums (nine places) over the non-NULL count;
 * DuckDB integer results are cast to the Spark types (INTEGER, BIGINT).
 """
 
@@ -15,7 +15,7 @@ _GRAIN = "week_start, species_code, species_name, area_code, area_name"
 
 
 def _mean(col: str) -> str:
-    return f"round(avg({col}), 9)"
+    return f"CAST(sum(CAST({col} AS DECIMAL(38,9))) AS DOUBLE) / CAST(nullif(count({col}), 0) AS DOUBLE)"
 
 
 def _vessel_rows(build_year: str, power: str, year: int) -> str:
@@ -111,8 +111,8 @@ BASE: dict[str, str] = {
            strftime(d, '%m-%d') IN ('01-01', '05-01', '05-17', '12-25', '12-26') AS is_holiday,
            CASE WHEN month(d) IN (12, 1, 2) THEN 'vinter' WHEN month(d) IN (3, 4, 5) THEN 'vaar'
                 WHEN month(d) IN (6, 7, 8) THEN 'sommer' ELSE 'hoest' END AS season
-    FROM (SELECT CAST(generate_series AS DATE) AS d
-          FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))""",
+    FROM (SELECT CAST(unnest(generate_series(date_trunc('week', min(t)), date_trunc('week', max(t)) + INTERVAL 6 DAY, INTERVAL 1 DAY)) AS DATE) AS d
+          FROM (SELECT l_shipdate AS t FROM lineitem UNION ALL SELECT o_orderdate FROM orders))""",
     "lv": """
     SELECT l.*, v.length_m, v.power_kw, CAST(date_trunc('week', l.landing_date) AS DATE) AS week_start
     FROM silver_landings l LEFT JOIN (SELECT vessel_id, length_m, power_kw FROM silver_vessels) v

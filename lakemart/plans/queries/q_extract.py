@@ -14,7 +14,8 @@ from lakemart.plans.oracle import sql
 from lakemart.plans.queries.q_sources import _REGISTER_SQL, REGISTER_COLUMNS
 from lakemart.sources import files
 
-START, END = b.CALENDAR_START, b.CALENDAR_END
+# The date range that the extract is cut to (its feature).
+START, END = "1995-01-01", "2001-12-31"
 NARROW_START, NARROW_END = "1996-01-01", "2000-12-31"
 
 

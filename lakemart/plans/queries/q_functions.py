@@ -148,7 +148,7 @@ def fn_date_key(spark, sf):
 SELECT week_start, CAST(week_start + INTERVAL 7 DAY AS DATE) AS target_week FROM week_calendar"""))
 def fn_date_add(spark, sf):
     from lakemart.operators import gold
-    weeks = gold.week_calendar(layers.silver_calendar(spark))
+    weeks = gold.week_calendar(layers.silver_calendar(spark, sf))
     return weeks.select("week_start", F.date_add("week_start", 7).alias("target_week"))
 
 
@@ -181,9 +181,8 @@ def fn_weekend(spark, sf):
 SELECT note_id, strftime(landing_date, '%m-%d') IN ('01-01', '05-01', '05-17', '12-25', '12-26') AS is_holiday
 FROM silver_landings"""))
 def fn_holiday(spark, sf):
-    from lakemart.sources.calendar import fixed_holidays
-    days = fixed_holidays(range(1995, 2002))
-    return layers.silver_landings(spark, sf).select("note_id", fn.is_holiday("landing_date", days).alias("is_holiday"))
+    from lakemart.sources.calendar import on_fixed_holiday
+    return layers.silver_landings(spark, sf).select("note_id", on_fixed_holiday("landing_date").alias("is_holiday"))
 
 
 @register("fn_season", sql("""

@@ -6,22 +6,24 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import features as feat
 from lakemart.operators import gold
+from lakemart.operators.joins import broadcast_if_fits
 from lakemart.plans import bindings as b
 from lakemart.plans import layers
 from lakemart.plans.catalog import register
 from lakemart.plans.oracle import sql
+from lakemart.sources.sinks import materialize
 
 GRAIN = "week_start, species_code, species_name, area_code, area_name"
 
 
 def _silver(spark, sf):
     return (layers.silver_landings(spark, sf), layers.silver_vessels(spark, sf),
-            layers.silver_sea(spark, sf), layers.silver_calendar(spark))
+            layers.silver_sea(spark, sf), layers.silver_calendar(spark, sf))
 
 
 def _lv(spark, sf):
     landings, vessels, _, _ = _silver(spark, sf)
-    return gold.landings_with_vessel(landings, vessels)
+    return gold.landings_with_vessel(landings, vessels, b.vessels_fit_broadcast(spark, sf))
 
 
 # -- dimensions -------------------------------------------------------------
@@ -49,7 +51,7 @@ def dim_vessel(spark, sf):
 @register("dim_date", sql("""
 SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM calendar"""))
 def dim_date(spark, sf):
-    return gold.dim_date(layers.silver_calendar(spark))
+    return gold.dim_date(layers.silver_calendar(spark, sf))
 
 
 @register("dim_key_unique", sql("""
@@ -77,7 +79,7 @@ FROM silver_landings l LEFT JOIN (SELECT DISTINCT species_code, species_name FRO
   ON l.species_code = d.species_code AND l.species_name = d.species_name"""))
 def join_dim_species(spark, sf):
     landings = layers.silver_landings(spark, sf)
-    dim = gold.dim_species(landings)
+    dim = broadcast_if_fits(materialize(gold.dim_species(landings), "dim-species"))
     return (landings.join(dim, ["species_code", "species_name"], "left")
             .select("note_id", "species_code", "species_name",
                     F.col("species_key").isNotNull().alias("species_found")))
@@ -89,7 +91,7 @@ FROM silver_landings l LEFT JOIN (SELECT DISTINCT area_code, area_name FROM silv
   ON l.area_code = d.area_code AND l.area_name = d.area_name"""))
 def join_dim_area(spark, sf):
     landings = layers.silver_landings(spark, sf)
-    dim = gold.dim_area(landings)
+    dim = broadcast_if_fits(materialize(gold.dim_area(landings), "dim-area"))
     return (landings.join(dim, ["area_code", "area_name"], "left")
             .select("note_id", "area_code", "area_name", F.col("area_key").isNotNull().alias("area_found")))
 
@@ -100,6 +102,7 @@ FROM silver_landings l LEFT JOIN silver_vessels v ON l.vessel_id = v.vessel_id""
 def join_dim_vessel(spark, sf):
     landings, vessels, _, _ = _silver(spark, sf)
     keys = gold.dim_vessel(vessels).select("vessel_id", "vessel_key")
+    keys = F.broadcast(keys) if b.vessels_fit_broadcast(spark, sf) else keys
     return (landings.join(keys, "vessel_id", "left")
             .select("note_id", "vessel_id", F.col("vessel_key").isNotNull().alias("vessel_found")))
 
@@ -109,8 +112,8 @@ SELECT l.note_id, l.landing_date, CAST(strftime(c.date, '%Y%m%d') AS INTEGER) AS
 FROM silver_landings l LEFT JOIN calendar c ON l.landing_date = c.date"""))
 def join_dim_date(spark, sf):
     landings = layers.silver_landings(spark, sf)
-    dates = gold.dim_date(layers.silver_calendar(spark))
-    return (landings.join(F.broadcast(dates.select(F.col("date").alias("landing_date"), "date_key")),
+    dates = gold.dim_date(layers.silver_calendar(spark, sf))
+    return (landings.join(broadcast_if_fits(dates.select(F.col("date").alias("landing_date"), "date_key")),
                           "landing_date", "left")
             .select("note_id", "landing_date", "date_key"))
 
@@ -120,14 +123,11 @@ def fact_landings(spark, sf):
     """Dimensions are written first (as the reference does); their written
     size is then known, so each is broadcast behind the size check and the
     fact is joined without being shuffled."""
-    from lakemart.operators.joins import broadcast_if_fits
-    from lakemart.sources.sinks import materialize
     landings, vessels, _, calendar = _silver(spark, sf)
     species = materialize(gold.dim_species(landings), "dim-species")
     area = materialize(gold.dim_area(landings), "dim-area")
     vessel = materialize(gold.dim_vessel(vessels), "dim-vessel")
-    return gold.fact_landings(landings, broadcast_if_fits(species), broadcast_if_fits(area),
-                              broadcast_if_fits(vessel), gold.dim_date(calendar))
+    return gold.fact_landings(landings, species, area, vessel, gold.dim_date(calendar))
 
 
 @register("fact_landings_checked", sql("""
@@ -178,12 +178,12 @@ def agg_week_sea(spark, sf):
 
 @register("filt_monday", sql("SELECT * FROM calendar WHERE weekday = 1"))
 def filt_monday(spark, sf):
-    return layers.silver_calendar(spark).filter(F.col("weekday") == 1)
+    return layers.silver_calendar(spark, sf).filter(F.col("weekday") == 1)
 
 
 @register("dedup_week", sql("SELECT * FROM week_calendar"))
 def dedup_week(spark, sf):
-    return gold.week_calendar(layers.silver_calendar(spark))
+    return gold.week_calendar(layers.silver_calendar(spark, sf))
 
 
 @register("join_sea_week", sql(f"""
@@ -198,7 +198,7 @@ def join_sea_week(spark, sf):
 SELECT vo.*, c.iso_week, c.month, c.season FROM week_volume vo LEFT JOIN week_calendar c USING (week_start)"""))
 def join_week_calendar(spark, sf):
     return gold.week_volume(_lv(spark, sf)).join(
-        F.broadcast(gold.week_calendar(layers.silver_calendar(spark))), "week_start", "left")
+        broadcast_if_fits(gold.week_calendar(layers.silver_calendar(spark, sf))), "week_start", "left")
 
 
 @register("mart_week", sql("SELECT * FROM mart"))
@@ -259,7 +259,7 @@ SELECT week_start, iso_week, round(sin(2 * pi() * iso_week / 52.0), 10) AS week_
        round(cos(2 * pi() * iso_week / 52.0), 10) AS week_cos FROM week_calendar"""))
 def fn_cyclic(spark, sf):
     from lakemart.functions import week_cos, week_sin
-    weeks = gold.week_calendar(layers.silver_calendar(spark))
+    weeks = gold.week_calendar(layers.silver_calendar(spark, sf))
     # sin/cos differ between math libraries in the last bit: compare at 10 places.
     return weeks.select("week_start", "iso_week", F.round(week_sin("iso_week"), 10).alias("week_sin"),
                         F.round(week_cos("iso_week"), 10).alias("week_cos"))
@@ -298,7 +298,7 @@ def fn_hash_key(spark, sf):
 SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM calendar"""))
 def proj_key_first(spark, sf):
     """New key column first, then every calendar column."""
-    cal = layers.silver_calendar(spark)
+    cal = layers.silver_calendar(spark, sf)
     return gold.dim_date(cal)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions import kg_to_tonnes, pct_deviation, rounded_sum
+from lakemart.functions import kg_to_tonnes, pct_deviation, decimal_sum
 from lakemart.operators import metrics, serving
 from lakemart.plans import layers
 from lakemart.plans.catalog import register
@@ -25,8 +25,8 @@ def _series(spark, sf):
     return serving.forecast_series(layers.pred_baseline(spark, sf))
 
 
-def _total(col: str, places: int = 6) -> str:
-    return f"round(sum({col}), {places})"
+def _total(col: str) -> str:
+    return f"CAST(sum(CAST({col} AS DECIMAL(38,9))) AS DOUBLE)"
 
 
 # -- datasets -------------------------------------------------------------------
@@ -99,7 +99,7 @@ def sort_agg_desc(spark, sf):
 SELECT week_start, series, {_total('kg')} AS kg FROM series GROUP BY 1, 2 ORDER BY 1, 2"""))
 def dash_week_series(spark, sf):
     s = _series(spark, sf)
-    return (s.groupBy("week_start", "series").agg(rounded_sum("kg").alias("kg"))
+    return (s.groupBy("week_start", "series").agg(decimal_sum("kg").alias("kg"))
             .orderBy("week_start", "series"))
 
 
@@ -107,7 +107,7 @@ def dash_week_series(spark, sf):
 SELECT species_name, series, {_total('kg')} AS kg FROM series GROUP BY 1, 2 ORDER BY 1, 2"""))
 def dash_species_series(spark, sf):
     s = _series(spark, sf)
-    return (s.groupBy("species_name", "series").agg(rounded_sum("kg").alias("kg"))
+    return (s.groupBy("species_name", "series").agg(decimal_sum("kg").alias("kg"))
             .orderBy("species_name", "series"))
 
 
@@ -146,7 +146,8 @@ def dash_facet_count_area(spark, sf):
 
 @register("dash_sea_series", sql("""
 SELECT week_start,
-       round(avg(wave_height_m), 6) AS wave_height_m, round(avg(sea_temp_c), 6) AS sea_temp_c,
+       round(CAST(sum(CAST(wave_height_m AS DECIMAL(38,9))) AS DOUBLE) / CAST(count(wave_height_m) AS DOUBLE), 6) AS wave_height_m,
+       round(CAST(sum(CAST(sea_temp_c AS DECIMAL(38,9))) AS DOUBLE) / CAST(count(sea_temp_c) AS DOUBLE), 6) AS sea_temp_c,
        CAST(sum(n_notes) AS BIGINT) AS n_notes FROM mart GROUP BY 1"""))
 def dash_sea_series(spark, sf):
     return serving.sea_by_week(layers.mart(spark, sf))

@@ -67,7 +67,7 @@ def dedup_date_area(spark, sf):
 
 @register("dedup_date", sql("SELECT * FROM calendar"))
 def dedup_date(spark, sf):
-    cal = b.calendar_table(spark)
+    cal = b.calendar_table(spark, sf)
     return silver.clean_calendar(cal.unionByName(cal))
 
 

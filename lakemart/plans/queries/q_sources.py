@@ -70,7 +70,7 @@ UNION ALL SELECT 'calendar', CAST(count(*) AS BIGINT) FROM calendar"""))
 def src_csv_batch(spark, sf):
     """Several files through the same ingest; rows per Bronze table."""
     tables = bronze.ingest_many(spark, [(raw.vessels_csv(spark, sf), "vessels", ","),
-                                        (raw.calendar_csv(spark), "calendar", ",")])
+                                        (raw.calendar_csv(spark, sf), "calendar", ",")])
     out = None
     for name, df in tables.items():
         one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("source"), "rows")
@@ -81,7 +81,7 @@ def src_csv_batch(spark, sf):
 @register("src_calendar_csv", sql("SELECT * FROM calendar"))
 def src_calendar_csv(spark, sf):
     """Calendar file (``True``/``False`` texts) -> Bronze -> typed, deduplicated."""
-    return silver.clean_calendar(silver.parse_calendar(bronze.csv_to_variant(spark, raw.calendar_csv(spark))))
+    return silver.clean_calendar(silver.parse_calendar(bronze.csv_to_variant(spark, raw.calendar_csv(spark, sf))))
 
 
 @register("src_jsonl_variant", sql("SELECT * FROM sea_raw"))
@@ -164,7 +164,7 @@ def fn_to_date_fmt(spark, sf):
 @register("fn_to_date_iso", sql("""
 SELECT date, TRY_CAST(strftime(date, '%Y-%m-%d') AS DATE) AS parsed FROM calendar"""))
 def fn_to_date_iso(spark, sf):
-    cal = layers.silver_calendar(spark)
+    cal = layers.silver_calendar(spark, sf)
     return cal.select("date", to_date_iso(F.date_format("date", "yyyy-MM-dd")).alias("parsed"))
 
 
@@ -277,7 +277,7 @@ def src_register_union(spark, sf):
 
 @register("src_calendar", sql("SELECT * FROM calendar"))
 def src_calendar(spark, sf):
-    return b.calendar_table(spark)
+    return b.calendar_table(spark, sf)
 
 
 LOOKUP_NAMES = {"ECONOMY": "Economy", "LARGE": "Large", "MEDIUM": "Medium", "PROMO": "Promo",

@@ -85,9 +85,9 @@ def _bool_text(c: str):
     return F.when(F.col(c), "True").otherwise("False")
 
 
-def calendar_csv(spark: SparkSession) -> str:
+def calendar_csv(spark: SparkSession, sf_dir: str) -> str:
     """The calendar in the course file layout (booleans as ``True``/``False``)."""
-    cal = b.calendar_table(spark)
+    cal = b.calendar_table(spark, sf_dir)
     out = cal.select(
         F.date_format("date", "yyyy-MM-dd").alias("dato"),
         F.date_format("week_start", "yyyy-MM-dd").alias("uke_start"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import is_holiday, is_weekend, iso_week, iso_weekday, season, week_start
@@ -43,6 +43,25 @@ def calendar(spark: SparkSession, start: str = REFERENCE_START, end: str = REFER
         raise ValueError(f"calendar of {n_days} days exceeds {MAX_CALENDAR_DAYS}")
     days = spark.range(0, n_days).select(
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date"))
+    return describe_days(days, is_holiday("date", holidays))
+
+
+def on_fixed_holiday(date) -> Column:
+    """Whether a date falls on a fixed-date holiday of any year."""
+    return F.date_format(date, "MM-dd").isin([f"{m:02d}-{d:02d}" for m, d in FIXED_DATE_HOLIDAYS])
+
+
+def calendar_of(dates: DataFrame, column: str = "date") -> DataFrame:
+    """The calendar of whole weeks from the first to the last of the dates:
+    no date of the data is outside it. No dates give no rows."""
+    bounds = dates.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    sunday = F.date_add(week_start("_hi"), 6)
+    days = bounds.filter(F.col("_lo").isNotNull()).select(F.explode(F.sequence(week_start("_lo"), sunday)).alias("date"))
+    return describe_days(days, on_fixed_holiday("date"))
+
+
+def describe_days(days: DataFrame, holiday: Column) -> DataFrame:
+    """Calendar columns of a table of days (``date``)."""
     return days.select(
         "date",
         week_start("date").alias("week_start"),
@@ -51,7 +70,7 @@ def calendar(spark: SparkSession, start: str = REFERENCE_START, end: str = REFER
         iso_week("date").alias("iso_week"),
         iso_weekday("date").alias("weekday"),
         is_weekend("date").alias("is_weekend"),
-        is_holiday("date", holidays).alias("is_holiday"),
+        holiday.alias("is_holiday"),
         season(F.month("date")).alias("season"),
     )
 

@@ -213,3 +213,57 @@ def test_sample_keeps_eight_valid_and_one_invalid(spark):
     invalid = [int(r.Dokumentnummer) for r in sample if not r._valid]
     assert valid == [1, 10, 11, 13, 14, 16, 17, 19]  # text order of document numbers
     assert invalid == [12]
+
+
+def test_forest_repeats_and_keeps_layout(spark):
+    """The training layout is fixed: shuffled input gives the same model."""
+    from lakemart.operators import forecast as fc
+    rows = [(f"S{i % 3}", "n", f"{i % 5:02d}", "a", D(2024, 1, 1 + i % 28), float(i % 7), float((i * 37) % 11)) for i in range(280)]
+    schema = "species_code string, species_name string, area_code string, area_name string, week_start date, x double, target_kg double"
+    df = spark.createDataFrame(rows, schema).dropDuplicates(["species_code", "area_code", "week_start"])
+    params = fc.ForestParams(num_trees=8, max_depth=4)
+    predicted = []
+    for shuffled in (df.repartition(1), df.repartition(7), df.orderBy("x")):
+        model = fc.fit(shuffled, ["x"], params)
+        predicted.append([r.predicted_kg for r in model.transform(df.orderBy("species_code", "area_code", "week_start")).orderBy("species_code", "area_code", "week_start").collect()])
+    assert predicted[0] == predicted[1] == predicted[2]
+
+
+def test_two_names_for_one_code_in_any_order(spark):
+    rows = [("A", n, "03", "x", D(2024, 1, d), kg) for n, d, kg in (("one", 1, 1.0), ("two", 1, 2.0), ("one", 8, 3.0), ("two", 8, 4.0))]
+    schema = "species_code string, species_name string, area_code string, area_name string, week_start date, landed_kg double"
+    found = [sorted(map(str, feat.add_lags(spark.createDataFrame(r, schema).coalesce(1)).collect())) for r in (rows, rows[::-1])]
+    assert found[0] == found[1]
+
+
+def test_dayfirst_is_anchored(spark):
+    df = spark.createDataFrame([("15.03.2024",), ("15.03.20245",), ("15.03.2024garbage",), ("15.03.2024 10:30",)], "t string")
+    assert [r.d for r in df.select(fn.to_date_dayfirst("t").alias("d")).collect()] == [D(2024, 3, 15), None, None, D(2024, 3, 15)]
+
+
+def test_means_keep_digits_and_large_values(spark):
+    df = spark.createDataFrame([(100 / 1.36,), (101 / 1.36,), (103 / 1.36,)], "x double")
+    assert abs(df.agg(fn.decimal_mean("x").alias("m")).first().m - 304 / 3 / 1.36) < 1e-8
+    assert spark.createDataFrame([(1e17,), (1e17,)], "x double").agg(fn.decimal_sum("x").alias("s")).first().s == 2e17
+
+
+def test_strict_json_and_headers(spark, tmp_path):
+    import pytest
+
+    from lakemart.sources import bronze
+    (tmp_path / "a.jsonl").write_text('{"x": 1}\n{"x": \n')
+    with pytest.raises(Exception):
+        bronze.jsonl_to_variant(spark, str(tmp_path / "a.jsonl")).collect()
+    lenient = bronze.jsonl_to_variant(spark, str(tmp_path / "a.jsonl"), strict=False)
+    assert bronze.malformed(lenient).first().n_malformed == 1
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x;y\n1;2\n")
+    (folder / "b.csv").write_text("y;x\n2;1\n")
+    with pytest.raises(Exception):
+        bronze.csv_to_variant(spark, str(folder), ";").collect()
+
+
+def test_strip_takes_all_white_space(spark):
+    df = spark.createDataFrame([("\t a b \n",)], "t string")
+    assert df.select(fn.strip("t").alias("s")).first().s == "a b"

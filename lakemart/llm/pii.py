@@ -21,7 +21,9 @@ searched each.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,8 @@ _LOCAL_END = re.compile(r"[^A-Za-z0-9._%+-]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-# Loose forms
+# Loose forms; none of the mail kind stands in a text without its marked "at"
+_AT = re.compile(r"[(\[]at[)\]]", re.I)
 _LOOSE = {
     "email": re.compile(r"\b[a-z0-9._]{2,40} ?[(\[]at[)\]] ?[a-z0-9-]{2,40} ?[(\[]dot[)\]] ?[a-z]{2,10}\b", re.I),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?: \. ?|\[\.\])[0-9]{1,3}(?: \. ?|\[\.\])[0-9]{1,3}(?: \. ?|\[\.\])[0-9]{1,3}(?![0-9.])"),
@@ -101,11 +104,14 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 def loose_spans(text: str, base: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
     """Loose candidates that touch no base span of any kind."""
     taken = sorted(s for spans in base.values() for s in spans)
-    out = {}
-    for kind, pattern in _LOOSE.items():
-        found = [m.span() for m in pattern.finditer(text)] if kind != "email" or "at" in text else []
-        out[kind] = [s for s in found if not any(a < s[1] and s[0] < b for a, b in taken)]
-    return out
+    starts = [a for a, _ in taken]
+    reach = list(accumulate((b for _, b in taken), max))  # how far the spans up to each one go
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return not before or reach[before - 1] <= start
+
+    return {kind: [m.span() for m in pattern.finditer(text) if free(*m.span())] if kind != "email" or _AT.search(text) else [] for kind, pattern in _LOOSE.items()}
 
 
 def votes(text: str, kind: str, start: int, end: int, strict: bool) -> list[int]:

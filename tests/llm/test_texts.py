@@ -38,6 +38,19 @@ def test_base_spans():
         assert pii.base_spans(t) == brute_spans(t)
 
 
+def test_loose_spans_touch_no_base_span():
+    rnd = random.Random(4)
+    for _ in range(5_000):
+        t = "".join(rnd.choice(["555-234-1000 ", "+1 988 555 2000", "a@b.c", "1.2.3.4", "joe (AT) b [dot] org ", "9. 8. 7. 6", " ", "4041894974608795", "(555) 234-1000"]) for _ in range(rnd.randrange(8)))
+        base = pii.base_spans(t)
+        taken = [s for spans in base.values() for s in spans]
+        for kind, pattern in pii._LOOSE.items():
+            assert pii.loose_spans(t, base)[kind] == [m.span() for m in pattern.finditer(t) if not any(a < m.end() and m.start() < b for a, b in taken)]
+    long = "+1 988 555 2000; 555-234-1000; " * 50_000  # a product of both counts would not end
+    assert len(pii.loose_spans(long, pii.base_spans(long))["phone"]) == 50_000
+    assert pii.loose_spans("JOE (AT) B2 [DOT] ORG", pii.base_spans(""))["email"]
+
+
 def test_find_and_redact(spark, frame):
     rows = [(i, f"call 555-234-{1000 + i} or +1 (988) 555-{2000 + i}, mail a{i}@b.com") for i in range(40)] + [(100, None), (101, ""), (102, "order 555-234-9999x"), (None, "ip 1.2.3.4"), (5, "twice 4041894974608795"), (5, "twice 4041894974608795")]
     found = pii.find(frame(rows)).collect()

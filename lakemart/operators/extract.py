@@ -84,6 +84,14 @@ def select_catch(lines: DataFrame, species: Iterable[str], areas: Iterable[str],
             .withColumn("weight_num", to_number(quote_name(WEIGHT))))
 
 
+def require_rows(selected: DataFrame) -> DataFrame:
+    """``selected``, or an error when no line matches (a wrong code or date range
+    shall not give an empty file)."""
+    if selected.isEmpty():
+        raise ValueError("no catch lines match the selected codes and dates")
+    return selected
+
+
 def valid_line() -> Column:
     """Vessel id present and not blank, weight > 0 (NULL counts as invalid)."""
     v = quote_name(VESSEL)
@@ -115,12 +123,18 @@ def sample_lines(selected: DataFrame, n_valid: int = N_VALID, n_invalid: int = N
     return ranked.filter(keep).drop("_rn")
 
 
-def landing_rows(sample: DataFrame, species_names: Mapping[str, str]) -> DataFrame:
+def landing_rows(sample: DataFrame, species_names: Mapping[str, str], in_order: bool = False) -> DataFrame:
     """The landings file layout: note id ``sales-org-document-line`` (missing
     parts as ``X``), day-first date text, species name falling back to the
-    lookup name, weight as parsed number."""
+    lookup name, weight as parsed number.
+
+    ``in_order``: rows by week, species, area, date, document and line. They are
+    sorted after the join, since Catalyst drops a sort below one, and before
+    dates become text."""
     names = sample.sparkSession.createDataFrame(list(species_names.items()), ["_code", "_lookup_name"])
     joined = sample.join(F.broadcast(names), quote_name(SPECIES) == F.col("_code"), "left")
+    if in_order:
+        joined = joined.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in (*GRAIN, "landing_date", DOC, LINE)])
     return joined.select(
         concat_key(quote_name(SALES_ORG), quote_name(DOC), quote_name(LINE)).alias("Seddelnummer"),
         F.date_format("landing_date", "dd.MM.yyyy").alias("Landingsdato"),

@@ -6,6 +6,8 @@ Each function returns a lazy DataFrame; callers decide where to materialise
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from lakemart.functions import abs_error
 from lakemart.operators import features as feat
 from lakemart.operators import gold, silver
 from lakemart.plans import bindings as b
+from lakemart.sources.sinks import materialize
 
 
 def silver_landings(spark: SparkSession, sf_dir: str, prefer_valid: bool = False) -> DataFrame:
@@ -42,6 +45,69 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.feature_mart(mart(spark, sf_dir))
 
 
+class Layers:
+    """The layer tables of one run. Each is written when first asked for, after
+    the layers that it reads, and read back by all that follow: Silver runs
+    once, and a dimension's size is known before it is joined."""
+
+    NAMES = ("silver_landings", "silver_vessels", "silver_sea", "silver_calendar", "dim_species", "dim_area",
+             "dim_vessel", "dim_date", "fact_landings", "mart", "features")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def build(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self.NAMES}
+
+    @cached_property
+    def silver_landings(self) -> DataFrame:
+        return materialize(silver_landings(self.spark, self.sf_dir), "silver-landings")
+
+    @cached_property
+    def silver_vessels(self) -> DataFrame:
+        return materialize(silver_vessels(self.spark, self.sf_dir), "silver-vessels")
+
+    @cached_property
+    def silver_sea(self) -> DataFrame:
+        return materialize(silver_sea(self.spark, self.sf_dir), "silver-sea")
+
+    @cached_property
+    def silver_calendar(self) -> DataFrame:
+        return materialize(silver_calendar(self.spark, self.sf_dir), "silver-calendar")
+
+    @cached_property
+    def dim_species(self) -> DataFrame:
+        return materialize(gold.dim_species(self.silver_landings), "dim-species")
+
+    @cached_property
+    def dim_area(self) -> DataFrame:
+        return materialize(gold.dim_area(self.silver_landings), "dim-area")
+
+    @cached_property
+    def dim_vessel(self) -> DataFrame:
+        return materialize(gold.dim_vessel(self.silver_vessels), "dim-vessel")
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return materialize(gold.dim_date(self.silver_calendar), "dim-date")
+
+    @cached_property
+    def fact_landings(self) -> DataFrame:
+        fact = gold.fact_landings(self.silver_landings, self.dim_species, self.dim_area, self.dim_vessel, self.dim_date)
+        return materialize(fact, "fact-landings")
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        weekly = gold.weekly_mart(self.silver_landings, self.silver_vessels, self.silver_sea, self.silver_calendar,
+                                  species_ids=b.BOUND_SPECIES_IDS,
+                                  broadcast_vessels=b.vessels_fit_broadcast(self.spark, self.sf_dir))
+        return materialize(weekly, "mart")
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return materialize(feat.feature_mart(self.mart), "features")
+
+
 def species_levels() -> list[int]:
     """Species ids the bound mart can hold (the map's ids and the catch-all)."""
     from lakemart.functions.codes import OTHER_SPECIES_ID

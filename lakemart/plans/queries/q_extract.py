@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions import kmh_to_ms, quote_name, to_timestamp_iso, week_start
+from lakemart.functions import kmh_to_ms, quote_name, strip, to_timestamp_iso
 from lakemart.operators import extract as ex
 from lakemart.plans import bindings as b
 from lakemart.plans import layers
@@ -161,11 +161,11 @@ def filt_date_range(spark, sf):
 
 @register("filt_nonblank", xsql("""
 SELECT "Dokumentnummer", "Linjenummer", "Fartøy ID" FROM catch
-WHERE "Fartøy ID" IS NOT NULL AND trim("Fartøy ID") <> ''"""))
+WHERE "Fartøy ID" IS NOT NULL AND NOT regexp_full_match("Fartøy ID", '\\s*')"""))
 def filt_nonblank(spark, sf):
     lines = raw.catch_lines(spark, sf)
     v = quote_name(ex.VESSEL)
-    return lines.filter(v.isNotNull() & (F.trim(v) != "")).select(quote_name(ex.DOC), quote_name(ex.LINE), v)
+    return lines.filter(v.isNotNull() & (strip(v) != "")).select(quote_name(ex.DOC), quote_name(ex.LINE), v)
 
 
 # -- sampling ---------------------------------------------------------------------------
@@ -193,16 +193,13 @@ def win_top1_invalid(spark, sf):
 @register("set_union_sample", xsql("SELECT * FROM (" + _LANDING_ROWS + ")"))
 def set_union_sample(spark, sf):
     """The landings file of the extract: valid and invalid samples together."""
-    return ex.landing_rows(_sample(spark, sf), raw.EXTRACT_NAMES)
+    return ex.landing_rows(ex.sample_lines(ex.require_rows(_selected_df(spark, sf))), raw.EXTRACT_NAMES)
 
 
-@register("sort_extract", xsql("SELECT * FROM (" + _LANDING_ROWS + ")"))
+@register("sort_extract", xsql(_LANDING_ROWS + '\nORDER BY week_start, "Art FAO (kode)", "Hovedområde (kode)", landing_date, "Dokumentnummer", "Linjenummer"'))
 def sort_extract(spark, sf):
     """The extract in its file order (week, species, area, date, document, line)."""
-    sample = _sample(spark, sf)
-    # Sorted on dates, before they become day-first text; the look-up is broadcast and keeps the order.
-    return ex.landing_rows(sample.orderBy(week_start("landing_date"), quote_name(ex.SPECIES), quote_name(ex.AREA), "landing_date",
-                                          quote_name(ex.DOC), quote_name(ex.LINE)), raw.EXTRACT_NAMES)
+    return ex.landing_rows(_sample(spark, sf), raw.EXTRACT_NAMES, in_order=True)
 
 
 @register("fn_concat_key", xsql("""
@@ -225,7 +222,7 @@ def fn_concat_key(spark, sf):
 def agg_latest_nonnull(spark, sf):
     """Newest non-NULL value of each vessel attribute over all selected lines."""
     sel = _selected_df(spark, sf)
-    src = sel.filter(quote_name(ex.VESSEL).isNotNull() & (F.trim(quote_name(ex.VESSEL)) != "")) \
+    src = sel.filter(quote_name(ex.VESSEL).isNotNull() & (strip(quote_name(ex.VESSEL)) != "")) \
         .withColumn("vessel_id", quote_name(ex.VESSEL).cast("string"))
     return ex.latest_non_null(src, "vessel_id", _ATTRS, ["landing_date", ex.DOC, ex.LINE])
 
@@ -246,11 +243,12 @@ def join_width(spark, sf):
             .join(_widths(spark, sf), "vessel_id", "left"))
 
 
-@register("extract_vessels", xsql("SELECT * FROM master"))
+@register("extract_vessels", xsql('SELECT * FROM master ORDER BY "Fartøy ID"'))
 def extract_vessels(spark, sf):
     """The vessel file of the extract: newest non-NULL attributes of all
-    selected lines, register width, length group, engine power in kW."""
-    return ex.vessel_master(_selected_df(spark, sf), _widths(spark, sf))
+    selected lines, register width, length group, engine power in kW; by vessel id."""
+    selected = ex.require_rows(_selected_df(spark, sf))
+    return ex.vessel_master(selected, _widths(spark, sf)).orderBy(quote_name("Fartøy ID"))
 
 
 # -- hourly replies -----------------------------------------------------------------------------

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators import features as feat
@@ -11,7 +14,6 @@ from lakemart.plans import bindings as b
 from lakemart.plans import layers
 from lakemart.plans.catalog import register
 from lakemart.plans.oracle import sql
-from lakemart.sources.sinks import materialize
 
 GRAIN = "week_start, species_code, species_name, area_code, area_name"
 
@@ -78,9 +80,9 @@ SELECT l.note_id, l.species_code, l.species_name, d.species_code IS NOT NULL AS
 FROM silver_landings l LEFT JOIN (SELECT DISTINCT species_code, species_name FROM silver_landings) d
   ON l.species_code = d.species_code AND l.species_name = d.species_name"""))
 def join_dim_species(spark, sf):
-    landings = layers.silver_landings(spark, sf)
-    dim = broadcast_if_fits(materialize(gold.dim_species(landings), "dim-species"))
-    return (landings.join(dim, ["species_code", "species_name"], "left")
+    tables = layers.Layers(spark, sf)
+    dim = broadcast_if_fits(tables.dim_species)
+    return (tables.silver_landings.join(dim, ["species_code", "species_name"], "left")
             .select("note_id", "species_code", "species_name",
                     F.col("species_key").isNotNull().alias("species_found")))
 
@@ -90,9 +92,9 @@ SELECT l.note_id, l.area_code, l.area_name, d.area_code IS NOT NULL AS area_foun
 FROM silver_landings l LEFT JOIN (SELECT DISTINCT area_code, area_name FROM silver_landings) d
   ON l.area_code = d.area_code AND l.area_name = d.area_name"""))
 def join_dim_area(spark, sf):
-    landings = layers.silver_landings(spark, sf)
-    dim = broadcast_if_fits(materialize(gold.dim_area(landings), "dim-area"))
-    return (landings.join(dim, ["area_code", "area_name"], "left")
+    tables = layers.Layers(spark, sf)
+    dim = broadcast_if_fits(tables.dim_area)
+    return (tables.silver_landings.join(dim, ["area_code", "area_name"], "left")
             .select("note_id", "area_code", "area_name", F.col("area_key").isNotNull().alias("area_found")))
 
 
@@ -120,26 +122,63 @@ def join_dim_date(spark, sf):
 
 @register("fact_landings")
 def fact_landings(spark, sf):
-    """Dimensions are written first (as the reference does); their written
-    size is then known, so each is broadcast behind the size check and the
-    fact is joined without being shuffled."""
-    landings, vessels, _, calendar = _silver(spark, sf)
-    species = materialize(gold.dim_species(landings), "dim-species")
-    area = materialize(gold.dim_area(landings), "dim-area")
-    vessel = materialize(gold.dim_vessel(vessels), "dim-vessel")
-    return gold.fact_landings(landings, species, area, vessel, gold.dim_date(calendar))
+    """Silver and the dimensions are written first, each once (as the reference
+    does); the written size is then known, so each dimension is broadcast behind
+    the size check and the fact is joined without being shuffled."""
+    return layers.Layers(spark, sf).fact_landings
 
 
 @register("fact_landings_checked", sql("""
 SELECT l.note_id, CAST(strftime(l.landing_date, '%Y%m%d') AS INTEGER) AS date_key, l.landing_date,
        l.vessel_id, l.species_code, l.area_code, l.gear_code, l.weight_kg,
-       v.vessel_id IS NOT NULL AS vessel_found
-FROM silver_landings l LEFT JOIN silver_vessels v ON l.vessel_id = v.vessel_id"""))
+       v.vessel_id IS NOT NULL AS vessel_found, s.species_code IS NOT NULL AS species_found, a.area_code IS NOT NULL AS area_found
+FROM silver_landings l LEFT JOIN silver_vessels v ON l.vessel_id = v.vessel_id
+LEFT JOIN (SELECT DISTINCT species_code, species_name FROM silver_landings) s ON l.species_code = s.species_code AND l.species_name = s.species_name
+LEFT JOIN (SELECT DISTINCT area_code, area_name FROM silver_landings) a ON l.area_code = a.area_code AND l.area_name = a.area_name"""))
 def fact_landings_checked(spark, sf):
     """The fact with hash keys replaced by found flags (SQL-checkable form)."""
+    found = [F.col(f"{d}_key").isNotNull().alias(f"{d}_found") for d in ("vessel", "species", "area")]
     return (fact_landings(spark, sf)
             .select("note_id", "date_key", "landing_date", "vessel_id", "species_code", "area_code",
-                    "gear_code", "weight_kg", F.col("vessel_key").isNotNull().alias("vessel_found")))
+                    "gear_code", "weight_kg", *found))
+
+
+# -- written layers -------------------------------------------------------------
+
+@register("layer_counts", sql("""
+SELECT 'silver_landings' AS layer, CAST(count(*) AS BIGINT) AS rows FROM silver_landings
+UNION ALL SELECT 'silver_vessels', CAST(count(*) AS BIGINT) FROM silver_vessels
+UNION ALL SELECT 'silver_sea', CAST(count(*) AS BIGINT) FROM silver_sea
+UNION ALL SELECT 'silver_calendar', CAST(count(*) AS BIGINT) FROM calendar
+UNION ALL SELECT 'dim_species', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT species_code, species_name FROM silver_landings)
+UNION ALL SELECT 'dim_area', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT area_code, area_name FROM silver_landings)
+UNION ALL SELECT 'dim_vessel', CAST(count(*) AS BIGINT) FROM silver_vessels
+UNION ALL SELECT 'dim_date', CAST(count(*) AS BIGINT) FROM calendar
+UNION ALL SELECT 'fact_landings', CAST(count(*) AS BIGINT) FROM silver_landings
+UNION ALL SELECT 'mart', CAST(count(*) AS BIGINT) FROM mart
+UNION ALL SELECT 'features', CAST(count(*) AS BIGINT) FROM features"""))
+def layer_counts(spark, sf):
+    """The whole pipeline: every layer written once; rows of each table."""
+    counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("rows"))
+              for name, df in layers.Layers(spark, sf).build().items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@register("layer_silver_landings", sql("SELECT * FROM silver_landings"))
+def layer_silver_landings(spark, sf):
+    return layers.Layers(spark, sf).silver_landings
+
+
+@register("layer_mart", sql("SELECT * FROM mart"))
+def layer_mart(spark, sf):
+    return layers.Layers(spark, sf).mart
+
+
+@register("layer_features", sql("""
+SELECT * REPLACE (round(week_sin, 10) AS week_sin, round(week_cos, 10) AS week_cos) FROM features"""))
+def layer_features(spark, sf):
+    df = layers.Layers(spark, sf).features
+    return df.withColumn("week_sin", F.round("week_sin", 10)).withColumn("week_cos", F.round("week_cos", 10))
 
 
 @register("join_vessel_attrs", sql("SELECT * FROM lv"))

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOT: str | None = None
+_SCRATCH: set[str] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -77,9 +78,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/lakemart-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below this application's part of the shared checkpoint
+    folder. That part goes when the driver's JVM ends."""
+    folder = f"{checkpoint_root(spark).rstrip('/')}/lakemart-scratch/{spark.sparkContext.applicationId}"
+    if folder not in _SCRATCH:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _SCRATCH.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def env_int(name: str, default: int) -> int:

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """``schema`` may name its catalog too (``catalog.schema``)."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`{loc}")
+    named = ".".join(f"`{part}`" for part in schema.split("."))
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {named}{loc}")
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None,
@@ -23,7 +25,7 @@ def write_table(df: DataFrame, name: str, path: str | None = None, partition_by:
     """
     spark = df.sparkSession
     if "." in name:
-        ensure_schema(spark, name.split(".")[0])
+        ensure_schema(spark, name.rpartition(".")[0])
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

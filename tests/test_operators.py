@@ -267,3 +267,38 @@ def test_strict_json_and_headers(spark, tmp_path):
 def test_strip_takes_all_white_space(spark):
     df = spark.createDataFrame([("\t a b \n",)], "t string")
     assert df.select(fn.strip("t").alias("s")).first().s == "a b"
+
+
+def test_no_selected_rows_is_an_error(spark):
+    from lakemart.operators.extract import require_rows
+    some = spark.range(2)
+    assert require_rows(some) is some
+    with pytest.raises(ValueError, match="no catch lines"):
+        require_rows(some.filter("id > 5"))
+
+
+def test_schema_is_created_and_table_replaced(spark, tmp_path):
+    from lakemart.sources import sinks
+    sinks.ensure_schema(spark, "spark_catalog.lakemart_gold", str(tmp_path / "gold"))
+    for df in (spark.range(3), spark.range(2).withColumn("kg", F.lit(1.5))):
+        sinks.write_table(df, "spark_catalog.lakemart_gold.weekly", path=str(tmp_path / "weekly"))
+    back = sinks.read_table(spark, "spark_catalog.lakemart_gold.weekly")
+    assert back.columns == ["id", "kg"] and back.count() == 2
+    spark.sql("DROP TABLE spark_catalog.lakemart_gold.weekly")
+    spark.sql("DROP SCHEMA spark_catalog.lakemart_gold")
+
+
+def test_scratch_goes_with_the_application(spark):
+    from lakemart.session import scratch_path
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert spark.sparkContext.applicationId in first
+
+
+def test_kept_models_follow_the_data(spark, tmp_path):
+    from lakemart.plans.queries.q_forecast import _version
+    spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
+    before = _version(spark, str(tmp_path))
+    assert before == _version(spark, str(tmp_path))
+    spark.range(4).write.parquet(str(tmp_path / "b.parquet"))
+    assert before != _version(spark, str(tmp_path))

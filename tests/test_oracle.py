@@ -49,6 +49,16 @@ def test_matches_oracle(spark, duck, qid):
     assert got == want
 
 
+@pytest.mark.parametrize("qid", ["sort_preview", "sort_extract", "sort_metrics", "sort_agg_desc", "extract_vessels"])
+def test_order_of_rows(spark, duck, qid):
+    """Rows in the order in which they come, which the test above does not see."""
+    assert "ORDER BY" in ORACLE[qid].rsplit("FROM", 1)[1]
+    got = QUERIES[qid](spark, SF_SMALL)
+    rel = duck.sql(ORACLE[qid])
+    want = [[_norm(dict(zip(rel.columns, r))[c]) for c in got.columns] for r in rel.fetchall()]
+    assert [[_norm(v) for v in r] for r in got.collect()] == want
+
+
 @pytest.mark.parametrize("qid", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, qid):
     df = QUERIES[qid](spark, SF_SMALL)

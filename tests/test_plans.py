@@ -11,22 +11,45 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dedup_plans_partial_window_group_limit(spark):
-    text = plan(layers.silver_landings(spark, SF_SMALL))
-    assert "WindowGroupLimit" in text
-
-
-def test_scan_prunes_columns_and_pushes_filters(spark):
-    df = QUERIES["filt_positive"](spark, SF_SMALL)
-    text = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in text
-    # lineitem is read with only the columns the binding needs
-    assert "l_comment" not in text and "l_receiptdate" not in text
-
-
-def test_fixed_size_dimensions_broadcast(spark):
-    text = plan(layers.mart(spark, SF_SMALL))
-    assert "BroadcastExchange" in text
+def test_dedup_cuts_groups_before_the_shuffle(spark):
+    for df, key in ((layers.silver_landings(spark, SF_SMALL), "note_id"), (layers.silver_sea(spark, SF_SMALL), "date")):
+        lines = plan(df).splitlines()
+        shuffle = next(i for i, ln in enumerate(lines) if f"Exchange hashpartitioning({key}" in ln)
+        assert "WindowGroupLimit" in lines[shuffle + 1] and lines[shuffle + 1].rstrip().endswith("Partial")
+        assert sum("REPARTITION" in ln for ln in lines) == 0
+
+
+def test_map_only_queries_do_not_shuffle(spark):
+    for qid in ("filt_positive", "filt_dropna", "filt_valid_split", "fn_lpad"):
+        text = plan(QUERIES[qid](spark, SF_SMALL))
+        assert "Exchange" not in text.replace("BroadcastExchange", ""), qid
+
+
+def test_scan_prunes_columns_and_filters_in_it(spark):
+    text = plan(QUERIES["filt_positive"](spark, SF_SMALL))
+    scan = next(ln for ln in text.splitlines() if "lineitem.parquet" in ln)
+    assert "l_extendedprice" in spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").columns
+    assert "l_extendedprice" not in scan and "l_quantity" in scan
+    assert "(l_quantity" in scan.split("DataFilters: ")[1].split("Format:")[0]
+
+
+def test_small_dimensions_do_not_shuffle_the_fact(spark):
+    for qid in ("join_dim_species", "join_dim_area", "join_vessel_attrs", "join_dim_vessel"):
+        text = plan(QUERIES[qid](spark, SF_SMALL))
+        assert "SortMergeJoin" not in text, qid
+        assert text.count("Exchange hashpartitioning(species_code") + text.count("Exchange hashpartitioning(area_code") == 0, qid
+
+
+def test_layers_are_written_once(spark):
+    tables = layers.Layers(spark, SF_SMALL)
+    built = tables.build()
+    assert list(built) == list(layers.Layers.NAMES)
+    for name, df in built.items():
+        scans = [ln for ln in plan(df).splitlines() if "FileScan" in ln]
+        assert len(scans) == 1 and "lakemart-scratch" in scans[0], name
+        assert getattr(tables, name) is df
+    # joined to written dimensions, the written Silver is scanned and nothing is deduplicated again
+    assert "Window" not in plan(QUERIES["join_dim_species"](spark, SF_SMALL))
 
 
 def test_feature_windows_share_one_exchange(spark):

@@ -4,9 +4,10 @@ A text and a template are word sequences. Words that occur once in both are
 anchors; the longest increasing run of anchors is kept, and the gaps between
 them are aligned in the same way until no anchor is left (equal words at a
 gap's ends are aligned first). Coverage is the share of the template's words
-that are aligned. A template is tried around every occurrence of the one of its
-words that the text holds least often, in a window of twice its length to both
-sides, so that a notice is found wherever it stands and however often.
+that are aligned. A match at the threshold may lack some of the template's words, so
+a template is tried around the occurrences of one word position more than may
+be lacking (those whose words the text holds least often): a match must align
+one of them. Windows reach twice the template's length to both sides.
 
 Defined results: a null or empty text holds no license (null, coverage 0); of
 templates with equal coverage the longer, then the first by name is reported;
@@ -113,9 +114,10 @@ class Scanner:
             held = sum(w in places for w in template)
             if held / len(template) < self.threshold or held / len(template) <= best[1]:
                 continue
-            rare = min((w for w in template if w in places), key=lambda w: len(places[w]))
+            need = next((c for c in range(1, len(template) + 1) if c / len(template) >= self.threshold), len(template) + 1)
+            seeds = sorted(template, key=lambda w: len(places.get(w, ())))[:len(template) - need + 1]
             reach = 2 * len(template)
-            for at in places[rare]:
+            for at in sorted({at for w in seeds for at in places.get(w, ())}):
                 low = max(0, at - reach)
                 pairs = align(found[low:at + reach], template)
                 coverage = len(pairs) / len(template)

@@ -121,6 +121,14 @@ def test_scan(spark, frame):
     assert licenses.scan_licenses(frame([])).collect() == []
 
 
+def test_scan_seed_outside():
+    """The rarest word of the template stands away from the notice, which lacks it."""
+    scan = licenses.Scanner(licenses.TEMPLATES, 0.8).scan
+    text = "Version 2 was released in May. " + "some words of other matters in between here " * 5 + "Distributed under the MIT License."
+    assert scan(text)[:2] == ("MIT", 0.8)
+    assert scan(text.replace("released", "out"))[:2] == ("MIT", 0.8)
+
+
 def test_quality(spark, frame):
     found = queries.op10_quality(spark, SF_CHECK).toPandas().merge(pd.read_parquet(f"{SF_CHECK}/labels.parquet"), on="doc_id")
     unseen = found[found.held_out]

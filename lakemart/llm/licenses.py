@@ -3,11 +3,15 @@
 A text and a template are word sequences. Words that occur once in both are
 anchors; the longest increasing run of anchors is kept, and the gaps between
 them are aligned in the same way until no anchor is left (equal words at a
-gap's ends are aligned first). Coverage is the share of the template's words
-that are aligned. A match at the threshold may lack some of the template's words, so
-a template is tried around the occurrences of one word position more than may
-be lacking (those whose words the text holds least often): a match must align
-one of them. Windows reach twice the template's length to both sides.
+gap's ends are aligned first). This settles the places that hold a template in
+full. Repeated words give no anchors, so all other places are aligned exactly.
+
+A template stands at a place of at most WIDTH times its words when the longest
+common subsequence of place and template reaches the threshold; coverage is its
+share of the template's words. Such a place may lack some of the template's
+words, so it is looked for around the occurrences of one word position more
+than may be lacking (those whose words the text holds least often): every place
+holds one of these.
 
 Defined results: a null or empty text holds no license (null, coverage 0); of
 templates with equal coverage the longer, then the first by name is reported;
@@ -18,8 +22,9 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -38,6 +43,8 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+#: A place holds at most so many times the words of its template.
+WIDTH = 4
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -95,34 +102,110 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def shortest(text: list, low: int, high: int, template: list, need: int) -> list[tuple[int, int, int]]:
+    """(aligned words, first, last) of the shortest places in text[low:high] that
+    align ``need`` words of the template or more: of each end and number of
+    words, the place that starts last. ``latest[j, c]`` is the last start of a
+    place up to here that aligns c of the template's first j words."""
+    n, out = len(template), []
+    rows = defaultdict(list)
+    for j in range(n, 0, -1):
+        rows[template[j - 1]].append(j)
+    latest = np.full((n + 1, n + 1), -1, np.int64)
+    before = latest[n, need:].tolist()
+    for i in range(low, high):
+        if text[i] not in rows:
+            continue
+        latest[:, 0] = i
+        for j in rows[text[i]]:
+            np.maximum(latest[j, 1:], latest[j - 1, :-1], out=latest[j, 1:])
+        np.maximum.accumulate(latest, axis=0, out=latest)
+        now = latest[n, need:].tolist()
+        if now != before:
+            beyond = -1
+            for c in range(n - need, -1, -1):
+                if now[c] > max(before[c], beyond) and i - now[c] < WIDTH * n:
+                    out.append((need + c, now[c], i))
+                beyond = max(beyond, now[c])
+            before = now
+    return out
+
+
+def apart(places: list[tuple]) -> list[tuple]:
+    """Of places (.., first, last), strongest first, those that overlap none before."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for place in places:
+        first, last = place[-2:]
+        at = bisect_left(taken, (first, last))
+        if (at == 0 or taken[at - 1][1] < first) and (at == len(taken) or taken[at][0] > last):
+            taken.insert(at, (first, last))
+            out.append(place)
+    return out
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], threshold: float):
-        self.threshold = threshold
-        self.templates = sorted(((name, words(text)) for name, text in templates.items()), key=lambda t: (-len(t[1]), t[0]))
-        self.known = frozenset(w for _, t in self.templates for w in t)
+        self.templates = []
+        for name, template in sorted(((name, words(text)) for name, text in templates.items()), key=lambda t: (-len(t[1]), t[0])):
+            n = len(template)
+            need = next((c for c in range(1, n + 1) if c / n >= threshold), None)
+            if need:
+                self.templates.append((name, template, need, Counter(template)))
+        self.known = frozenset(w for _, template, *_ in self.templates for w in template)
+
+    @staticmethod
+    def places(found: list, at: dict[str, list[int]], template: list, need: int, counts: Counter) -> list[tuple[int, int, int]]:
+        """(aligned words, first, last) of the template's places, none overlapping a stronger one."""
+        n = len(template)
+
+        def held(low, high):
+            return sum(min(c, bisect_left(at[w], high) - bisect_left(at[w], low)) for w, c in counts.items() if w in at)
+
+        if sum(c for w, c in counts.items() if w in at) < need:
+            return []
+        by_count = sorted(range(n), key=lambda j: len(at.get(template[j], ())))
+        spans: list[list[int]] = []
+        for i in sorted({i for j in by_count[:n - need + 1] for i in at.get(template[j], ())}):
+            low, high = max(0, i - WIDTH * n + 1), min(len(found), i + WIDTH * n)
+            if held(low, high) < need:
+                continue
+            if spans and low <= spans[-1][1]:
+                spans[-1][1] = high
+            else:
+                spans.append([low, high])
+        if not spans:
+            return []
+        whole, end = [], 0
+        for i in at.get(template[by_count[0]], ()):
+            first = i - by_count[0]
+            if first >= end and found[first] == template[0] and len(align(found[first:first + n], template)) == n:
+                end = first + n
+                whole.append((n, first, end - 1))
+        out, k = list(whole), 0
+        for low, high in spans:
+            while k < len(whole) and whole[k][1] < high:
+                _, first, last = whole[k]
+                if held(low, first) >= need:
+                    out += shortest(found, low, first, template, need)
+                low, k = last + 1, k + 1
+            if held(low, high) >= need:
+                out += shortest(found, low, high, template, need)
+        return apart(sorted(out, key=lambda p: (-p[0], p[2] - p[1], p[1])))
 
     def scan(self, text: str) -> tuple[str | None, float, int | None, int | None]:
         """(name, coverage, first and last aligned word) of the best template at
         the threshold."""
         found = words(text)
-        places: dict[str, list[int]] = defaultdict(list)
+        at: dict[str, list[int]] = defaultdict(list)
         for i, w in enumerate(found):
             if w in self.known:
-                places[w].append(i)
+                at[w].append(i)
         best: tuple = (None, 0.0, None, None)
-        for name, template in self.templates:
-            held = sum(w in places for w in template)
-            if held / len(template) < self.threshold or held / len(template) <= best[1]:
-                continue
-            need = next((c for c in range(1, len(template) + 1) if c / len(template) >= self.threshold), len(template) + 1)
-            seeds = sorted(template, key=lambda w: len(places.get(w, ())))[:len(template) - need + 1]
-            reach = 2 * len(template)
-            for at in sorted({at for w in seeds for at in places.get(w, ())}):
-                low = max(0, at - reach)
-                pairs = align(found[low:at + reach], template)
-                coverage = len(pairs) / len(template)
-                if coverage >= self.threshold and coverage > best[1]:
-                    best = (name, coverage, low + pairs[0][0], low + pairs[-1][0])
+        for name, template, need, counts in self.templates:
+            for aligned, first, last in self.places(found, at, template, need, counts)[:1]:
+                if aligned / len(template) > best[1]:
+                    best = (name, aligned / len(template), first, last)
         return best
 
 

@@ -129,6 +129,50 @@ def test_scan_seed_outside():
     assert scan(text.replace("released", "out"))[:2] == ("MIT", 0.8)
 
 
+def test_scan_close_copies():
+    """Two copies in one window leave no word of the template unique; the rarest word stands in its middle."""
+    scan = licenses.Scanner(licenses.TEMPLATES, 0.8).scan
+    far = " some words of other matters in between here" * 5 + " released under the"
+    text = "alpha beta gamma delta eps zeta eta theta Released under the MIT License. Released under the MIT License. iota kappa lambda mu nu xi" + far
+    assert scan(text) == ("MIT", 1.0, 8, 12)
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        old = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
+    return row[-1]
+
+
+def brute_places(text, template, need):
+    """Every window aligned, the strongest and shortest first, none overlapping one before."""
+    n = len(template)
+    every = [(lcs(text[i:j], template), i, j - 1) for i in range(len(text)) for j in range(i + 1, min(len(text), i + licenses.WIDTH * n) + 1)]
+    out = []
+    for place in sorted((p for p in every if p[0] >= need), key=lambda p: (-p[0], p[2] - p[1], p[1])):
+        if all(place[2] < p[1] or place[1] > p[2] for p in out):
+            out.append(place)
+    return out
+
+
+def test_scan_brute():
+    rnd, n_places = random.Random(11), 0
+    for _ in range(250):
+        template = [rnd.choice("abcdefgh") for _ in range(rnd.randrange(1, 7))]
+        text = [w for _ in range(rnd.randrange(4)) for w in [rnd.choice("abcdefghxyz") for _ in range(rnd.randrange(6))] + [w for w in template if rnd.random() < 0.9]]
+        text += rnd.choices("abcdefghxyz", k=rnd.randrange(5))
+        threshold = rnd.choice([0.5, 0.8, 1.0])
+        scanner = licenses.Scanner({"t": " ".join(template)}, threshold)
+        _, _, need, counts = scanner.templates[0]
+        at = {w: [i for i, x in enumerate(text) if x == w] for w in counts if w in text}
+        expected = brute_places(text, template, need)
+        assert scanner.places(text, at, template, need, counts) == expected, (text, template, threshold)
+        n_places += len(expected)
+    assert n_places > 200
+
+
 def test_quality(spark, frame):
     found = queries.op10_quality(spark, SF_CHECK).toPandas().merge(pd.read_parquet(f"{SF_CHECK}/labels.parquet"), on="doc_id")
     unseen = found[found.held_out]

@@ -13,9 +13,15 @@ words, so it is looked for around the occurrences of one word position more
 than may be lacking (those whose words the text holds least often): every place
 holds one of these.
 
-Defined results: a null or empty text holds no license (null, coverage 0); of
-templates with equal coverage the longer, then the first by name is reported;
-repeated rows are scanned each.
+All places of all templates are reported as ``findings``, in the order of the
+text; of places that overlap only the strongest stays. The best of them is
+reported beside.
+
+Defined results: a null or empty text holds no license (null, coverage 0, no
+findings); the strongest place is that of the highest coverage, then of the
+longer template, then of the first by name, then the shortest, then the first;
+the best of a text is chosen alike, but the first before the shortest; repeated
+rows are scanned each.
 """
 
 from __future__ import annotations
@@ -152,6 +158,7 @@ class Scanner:
             need = next((c for c in range(1, n + 1) if c / n >= threshold), None)
             if need:
                 self.templates.append((name, template, need, Counter(template)))
+        self.ranks = {name: rank for rank, (name, *_) in enumerate(self.templates)}
         self.known = frozenset(w for _, template, *_ in self.templates for w in template)
 
     @staticmethod
@@ -193,31 +200,41 @@ class Scanner:
                 out += shortest(found, low, high, template, need)
         return apart(sorted(out, key=lambda p: (-p[0], p[2] - p[1], p[1])))
 
-    def scan(self, text: str) -> tuple[str | None, float, int | None, int | None]:
-        """(name, coverage, first and last aligned word) of the best template at
-        the threshold."""
+    def scan(self, text: str) -> list[tuple[str, float, int, int]]:
+        """(name, coverage, first and last aligned word) of every place at the
+        threshold that overlaps no stronger one, in the order of the text."""
         found = words(text)
         at: dict[str, list[int]] = defaultdict(list)
         for i, w in enumerate(found):
             if w in self.known:
                 at[w].append(i)
-        best: tuple = (None, 0.0, None, None)
-        for name, template, need, counts in self.templates:
-            for aligned, first, last in self.places(found, at, template, need, counts)[:1]:
-                if aligned / len(template) > best[1]:
-                    best = (name, aligned / len(template), first, last)
-        return best
+        every = []
+        for rank, (name, template, need, counts) in enumerate(self.templates):
+            for aligned, first, last in self.places(found, at, template, need, counts):
+                every.append((-aligned / len(template), rank, last - first, name, first, last))
+        kept = apart(sorted(every, key=lambda p: (*p[:3], p[4])))
+        return [(name, -less, first, last) for less, _, _, name, first, last in sorted(kept, key=lambda p: p[4])]
+
+    def best(self, findings: list[tuple[str, float, int, int]]) -> tuple[str | None, float, int | None, int | None]:
+        return min(findings, key=lambda f: (-f[1], self.ranks[f[0]], f[2]), default=(None, 0.0, None, None))
+
+
+FINDING = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, license, coverage, first_word, last_word) of each whole text."""
+    """(doc_id, license, coverage, first_word, last_word, findings) of each whole
+    text: the best place, and all places as an array of its four columns."""
     scanner = Scanner(templates or TEMPLATES, threshold)
 
     def run(batches):
         for ids, texts in slices(batches):
-            names, coverage, first, last = zip(*(scanner.scan(t) for t in texts))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(names, pa.string()), pa.array(coverage, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
-                                             ["doc_id", "license", "coverage", "first_word", "last_word"])
+            findings = [scanner.scan(t) for t in texts]
+            names, coverage, first, last = zip(*map(scanner.best, findings))
+            every = pa.array([[dict(zip(FINDING.names, f)) for f in fs] for fs in findings], pa.list_(FINDING))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(names, pa.string()), pa.array(coverage, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), every],
+                                             ["doc_id", "license", "coverage", "first_word", "last_word", "findings"])
 
     source = texts_of(docs, id_col, text_col)
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, license string, coverage double, first_word bigint, last_word bigint")
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, license string, coverage double, first_word bigint, last_word bigint, "
+                                  "findings array<struct<license:string,coverage:double,first_word:bigint,last_word:bigint>>")

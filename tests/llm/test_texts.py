@@ -123,7 +123,8 @@ def test_scan(spark, frame):
 
 def test_scan_seed_outside():
     """The rarest word of the template stands away from the notice, which lacks it."""
-    scan = licenses.Scanner(licenses.TEMPLATES, 0.8).scan
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    scan = lambda t: scanner.best(scanner.scan(t))
     text = "Version 2 was released in May. " + "some words of other matters in between here " * 5 + "Distributed under the MIT License."
     assert scan(text)[:2] == ("MIT", 0.8)
     assert scan(text.replace("released", "out"))[:2] == ("MIT", 0.8)
@@ -131,12 +132,25 @@ def test_scan_seed_outside():
 
 def test_scan_close_copies():
     """Two copies in one window leave no word of the template unique; the rarest word stands in its middle."""
-    scan = licenses.Scanner(licenses.TEMPLATES, 0.8).scan
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    scan = lambda t: scanner.best(scanner.scan(t))
     far = " some words of other matters in between here" * 5 + " released under the"
     text = "alpha beta gamma delta eps zeta eta theta Released under the MIT License. Released under the MIT License. iota kappa lambda mu nu xi" + far
     assert scan(text) == ("MIT", 1.0, 8, 12)
 
 
+def test_scan_all(spark, frame):
+    """Every notice of a text is reported, the longer one where two overlap."""
+    header, notice, mit = (licenses.TEMPLATES[k] for k in ("Apache-2.0-header", "MIT-notice", "MIT"))
+    rows = [(1, f"{header} x {notice} y {mit} z {mit}"), (2, mit.replace("Released", "Given") + " and " + licenses.TEMPLATES["CC-BY-NC-4.0"]), (3, "none"), (4, None)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(rows)).collect()}
+    n, m = len(licenses.words(header)), len(licenses.words(notice))
+    assert [tuple(f) for f in got[1].findings] == [("Apache-2.0-header", 1.0, 0, n - 1), ("MIT-notice", 1.0, n + 1, n + m), ("MIT", 1.0, n + m + 2, n + m + 6), ("MIT", 1.0, n + m + 8, n + m + 12)]
+    assert [(f.license, f.coverage) for f in got[2].findings] == [("MIT", 0.8), ("CC-BY-NC-4.0", 1.0)]
+    assert (got[1].license, got[1].first_word, got[2].license, got[2].coverage) == ("MIT-notice", n + 1, "CC-BY-NC-4.0", 1.0)
+    assert got[3].findings == got[4].findings == [] and got[3].license is None
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:

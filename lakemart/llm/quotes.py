@@ -4,7 +4,8 @@ A line that starts with ``>`` marks (blanks may stand between) is quoted at the
 level of their number. Runs of lines of one level are passages; a passage is
 normalised (lower case, single blanks) and hashed. Messages without their
 quoted lines give the originals: the whole body, its paragraphs and its lines,
-hashed alike. A passage belongs to the latest earlier message of its
+and for passages of several lines or paragraphs every run of as many lines or
+paragraphs, hashed alike. A passage belongs to the latest earlier message of its
 conversation that holds its hash, and a message replies to the message of its
 least deeply quoted passage that was found, or else to the one before it.
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 MARKS = r"^[ \t]*(?:>[ \t]*)+"
+PARAGRAPHS = r"\n[ \t]*\n\s*"
 CHUNK = 1024
 
 
@@ -39,18 +41,34 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
+def units(text: Column, cut: str) -> Column:
+    """The parts between cuts, normalised, without empty ones."""
+    return F.filter(F.transform(F.split(text, cut, -1), normalised), lambda x: x != "")
+
+
+def runs_of(parts: Column, counts: Column) -> Column:
+    """Every run of parts whose number is one of the counts, joined by blanks."""
+    def runs(held: Column) -> Column:
+        return F.flatten(F.transform(F.filter(counts, lambda k: k <= F.size(held)), lambda k: F.transform(
+            F.sequence(F.lit(0), F.size(held) - k), lambda at: F.array_join(F.slice(held, at + 1, k), " "))))
+    # The array round the parts makes Spark compute them once, not once a run.
+    return F.flatten(F.transform(F.array(parts), runs))
+
+
 def parse(text: Column) -> dict[str, Column]:
-    """``body`` (the text without quoted lines) and ``passages`` (level, hash)."""
+    """``body`` (the text without quoted lines) and ``passages`` (level, hash,
+    numbers of lines and paragraphs)."""
     lines = F.split(F.translate(text, "\x02\x03", "  "), "\n", -1)
     marked = F.transform(lines, lambda x: F.struct(level(x).alias("level"), F.regexp_replace(x, MARKS, "").alias("line")))
     body = F.regexp_replace(F.array_join(F.transform(F.filter(marked, lambda x: x["level"] == 0), lambda x: x["line"]), "\n"), r"^\s+|\s+$", "")
-    # A mark with the level stands where the level changes; the rest are blanks.
+    # A mark with the level stands where the level changes; the rest are line ends.
     def cut(all_lines: Column) -> Column:
         return F.transform(all_lines, lambda x, i: F.concat(
-            F.when((i > 0) & (F.get(all_lines, i - 1)["level"] == x["level"]), F.lit(" ")).otherwise(F.concat(F.lit("\x02"), x["level"].cast("string"), F.lit("\x03"))), x["line"]))
+            F.when((i > 0) & (F.get(all_lines, i - 1)["level"] == x["level"]), F.lit("\n")).otherwise(F.concat(F.lit("\x02"), x["level"].cast("string"), F.lit("\x03"))), x["line"]))
     runs = F.transform(F.filter(F.split(F.array_join(cut(marked), ""), "\x02"), lambda r: ~r.startswith("0\x03") & (r != "")),
-                       lambda r: F.struct(F.substring_index(r, "\x03", 1).cast("int").alias("level"), normalised(F.substring_index(r, "\x03", -1)).alias("text")))
-    passages = F.transform(F.filter(runs, lambda r: r["text"] != ""), lambda r: F.struct(r["level"].alias("level"), F.md5(r["text"]).alias("hash")))
+                       lambda r: F.struct(F.substring_index(r, "\x03", 1).cast("int").alias("level"), F.substring_index(r, "\x03", -1).alias("text")))
+    passages = F.transform(F.filter(runs, lambda r: normalised(r["text"]) != ""), lambda r: F.struct(
+        r["level"].alias("level"), F.md5(normalised(r["text"])).alias("hash"), F.size(units(r["text"], "\n")).alias("lines"), F.size(units(r["text"], PARAGRAPHS)).alias("paragraphs")))
     return {"body": body, "passages": passages}
 
 
@@ -78,10 +96,14 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     parts = parse(F.col("text"))
     rows = scratch.table(known.unionByName(lone).select("conv_id", "turn", "role", "rank", parts["body"].alias("body"), parts["passages"].alias("passages")), "quotes-rows")
 
-    quoted = rows.filter("conv_id is not null and size(passages) > 0").select("conv_id", "rank", F.explode("passages").alias("p")).select("conv_id", "rank", "p.level", "p.hash").distinct()
-    quoting = quoted.select("conv_id").distinct()
-    pieces = F.array_distinct(F.filter(F.transform(F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n\s*", -1), F.split("body", "\n", -1)), normalised), lambda x: x != ""))
-    originals = (rows.join(quoting, "conv_id", "left_semi").select("conv_id", F.col("rank").alias("source"), F.explode(pieces).alias("piece"))
+    passages = rows.filter("conv_id is not null and size(passages) > 0").select("conv_id", "rank", F.explode("passages").alias("p")).select("conv_id", "rank", "p.*")
+    quoted = passages.select("conv_id", "rank", "level", "hash").distinct()
+    # The lengths that a conversation quotes are the only ones that its originals need.
+    quoting = passages.groupBy("conv_id").agg(F.collect_set("lines").alias("lines"), F.collect_set("paragraphs").alias("paragraphs"))
+    single = F.array(F.lit(1))
+    pieces = F.array_distinct(F.filter(F.concat(
+        F.array(normalised(F.col("body"))), runs_of(units(F.col("body"), PARAGRAPHS), F.array_union("paragraphs", single)), runs_of(units(F.col("body"), "\n"), F.array_union("lines", single))), lambda x: x != ""))
+    originals = (rows.join(quoting, "conv_id").select("conv_id", F.col("rank").alias("source"), F.explode(pieces).alias("piece"))
                  .select("conv_id", "source", F.md5("piece").alias("hash")))
     # The latest earlier holder of a hash: each quote and holder is a point on
     # the conversation's line, so one ordered pass replaces a join of all pairs.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -235,6 +236,55 @@ def test_quotes(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def quoted_sources(texts):
+    """For each text the latest earlier one that holds each quoted run, by all runs of its units."""
+    clean = lambda t: " ".join(t.lower().split())
+    split = lambda t, cut: [c for c in map(clean, re.split(cut, t)) if c]
+    blank = r"\n[ \t]*\n\s*"
+    bodies, out = [], []
+    for text in texts:
+        lines = [(x.startswith(">"), x.lstrip("> ")) for x in text.split("\n")]
+        found = []
+        for mark, group in itertools.groupby(lines, key=lambda x: x[0]):
+            run = "\n".join(x for _, x in group)
+            if mark and clean(run):
+                holds = []
+                for k, body in enumerate(bodies):
+                    pieces = [clean(body)]
+                    for cut in ("\n", blank):
+                        parts = split(body, cut)
+                        pieces += [" ".join(parts[i:i + n]) for n in {1, len(split(run, cut))} for i in range(len(parts) - n + 1)]
+                    holds += [k] * (clean(run) in pieces)
+                found.append(max(holds, default=None))
+        out.append(found)
+        bodies.append("\n".join(x for mark, x in lines if not mark).strip())
+    return out
+
+
+def test_quotes_partial(spark):
+    """Some lines of a paragraph and some paragraphs of a body are found."""
+    convs = [["one\ntwo\nthree", "between", "> one\n> two\nyes"], ["p1\n\np2\nmore\n\np3", "between", "> p1\n>\n> p2 more\nyes"], ["one\ntwo\nthree", "between", "> one\n> three\nno"]]
+    rnd = random.Random(8)
+    for _ in range(60):
+        texts: list = []
+        for _ in range(6):
+            body = "".join(rnd.choice("abc") + rnd.choice(["\n", "\n", "\n\n"]) for _ in range(rnd.randrange(1, 6))).strip()
+            if texts and rnd.random() < 0.7:
+                held = [x for x in rnd.choice(texts).split("\n") if not x.startswith(">")]
+                i = rnd.randrange(len(held))
+                body = "\n".join("> " + x for x in held[i:i + rnd.randrange(1, 5)]) + "\n" + body
+            texts.append(body)
+        convs.append(texts)
+    df = spark.createDataFrame([(c, t, "a", x) for c, texts in enumerate(convs) for t, x in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in quotes.link_quotes(df).collect()}
+    assert [got[c, 2].reply_to for c in range(3)] == [0, 0, 1] and [got[c, 2].n_linked for c in range(3)] == [1, 1, 0]
+    for c, texts in enumerate(convs):
+        for t, found in enumerate(quoted_sources(texts)):
+            assert (got[c, t].n_passages, got[c, t].n_linked) == (len(found), sum(x is not None for x in found)), (texts, t)
+            if t:
+                assert got[c, t].reply_to == max((x for x in found if x is not None), default=t - 1), (texts, t)
+
+
 def test_oracles(spark):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "conversations"):

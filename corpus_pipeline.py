@@ -2,8 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that the one
 before kept; all but the last return the columns of ``documents``. ``run``
-writes each stage to the shared folder and reads it back. Rows with a null id
-cannot be told apart and are kept by the two dedup stages.
+writes each stage to the shared folder and reads it back. Verdicts are given to
+rows, not to ids: the first three stages write their rows with a key, so that
+rows that repeat an id, or have none, stay or go each by its own text. Of equal
+texts of one length the smallest id stays, a null id last.
 """
 
 from __future__ import annotations
@@ -15,26 +17,36 @@ from lakemart.llm import exact_dedup, minhash, packing, pii, quality
 from lakemart.llm.common import Scratch, table, vocabulary
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the ids of ``dropped`` (doc_id)."""
-    ids = dropped.select(F.col("doc_id").alias("_dropped_id")).distinct()
-    return docs.join(ids, docs["doc_id"] == ids["_dropped_id"], "left_anti")
+def _keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a key of each row in the order of the ids. It is
+    written, as the numbers of rows that are computed anew may differ."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
+    return Scratch(spark).table(docs.withColumn("_row", key), "pipeline-rows")
+
+
+def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``keyed`` less the rows whose keys ``dropped`` has as doc_id."""
+    rows = dropped.select(F.col("doc_id.row").alias("_dropped"))
+    return keyed.join(rows, keyed["_row.row"] == rows["_dropped"], "left_anti").drop("_row")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    scored = quality.classify(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.filter("predicted = 0"))
+    keyed = _keyed(spark, docs)
+    scored = quality.classify(keyed.withColumn("doc_id", F.col("_row")), table(spark, sf_dir, "labels"), label_docs=keyed)
+    return _without(keyed, scored.filter("predicted = 0"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    return _without(docs, exact_dedup.progressive_dedup(docs).filter("not kept"))
+    keyed = _keyed(spark, docs)
+    return _without(keyed, exact_dedup.progressive_dedup(keyed, id_col="_row").filter("not kept"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8) stays."""
-    return _without(docs, minhash.near_duplicates(docs, words=5, percent=80).filter("not kept"))
+    keyed = _keyed(spark, docs)
+    return _without(keyed, minhash.near_duplicates(keyed, words=5, percent=80, id_col="_row").filter("not kept"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

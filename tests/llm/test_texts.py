@@ -325,3 +325,18 @@ def test_pipeline(spark, tmp_path):
         else:
             assert set(after.doc_id) == set(before.doc_id)
             assert after.groupby("sequence_id").length.sum().max() <= 4096
+
+
+def test_pipeline_rows(spark, frame):
+    """Rows that repeat an id or have none stay or go each by its own text."""
+    kept = lambda stage, rows: sorted(((r.doc_id, r.text) for r in stage(spark, frame(rows, extra=False), SF_SMALL).collect()), key=str)
+    rows = [(0, "x"), (1, "x"), (1, "a unique text"), (None, "x"), (None, "other"), (None, "other"), (2, "u"), (2, "u")]
+    assert kept(corpus_pipeline.exact_stage, rows) == sorted([(0, "x"), (1, "a unique text"), (None, "other"), (2, "u")], key=str)
+    long = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "xuo"}
+    rows = [(0, long["x"]), (1, long["x"] + " end"), (1, long["u"]), (None, long["x"] + " stop"), (None, long["o"]), (None, long["o"])]
+    assert kept(corpus_pipeline.near_stage, rows) == sorted([(0, long["x"]), (1, long["u"]), (None, long["o"])], key=str)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").toPandas()
+    after = {i for i, _ in kept(corpus_pipeline.quality_stage, list(docs.itertuples(index=False, name=None)))}
+    good, bad = (docs[docs.doc_id.isin(after) == x].iloc[0].text for x in (True, False))
+    rows = list(docs.itertuples(index=False, name=None)) + [(-1, good), (-1, bad), (None, good), (None, bad)]
+    assert [r for r in kept(corpus_pipeline.quality_stage, rows) if r[0] in (-1, None)] == [(-1, good), (None, good)]

@@ -10,6 +10,8 @@ conversation that holds its hash, and a message replies to the message of its
 least deeply quoted passage that was found, or else to the one before it.
 
 Ranks inside a conversation are taken in two steps (counts of chunks of turns,
+then places within a chunk), and so are the last holder of a hash and the last
+head of a chain before a message (the last of each chunk carried over the chunks,
 then places within a chunk), so a conversation that holds a third of all rows
 is spread over its chunks. Depths come from pointer doubling over the messages
 that break a plain chain of replies, in rounds that grow with the logarithm of
@@ -84,6 +86,20 @@ def ranked(df: DataFrame, group: str, turn: str, *ties: str) -> DataFrame:
     return placed.select("l.*", (F.col("l._own") + F.col("r._before")).cast("long").alias("rank")).drop("_chunk", "_own")
 
 
+def last_before(points: DataFrame, marks: DataFrame, keys: list[str], at: str, value: str, same: bool) -> DataFrame:
+    """``points`` with ``value`` of the last of the marks (keys, ``at``, ``value``
+    growing with ``at``) of their keys before their ``at``, or at it if ``same``."""
+    kind = marks.schema[value].dataType
+    every = (points.withColumns({value: F.lit(None).cast(kind), "_point": F.lit(True)})
+             .unionByName(marks.select(*keys, at, value, F.lit(False).alias("_point")), allowMissingColumns=True).withColumn("_chunk", F.floor(F.col(at) / CHUNK)))
+    chunks = every.groupBy(*keys, "_chunk").agg(F.max(value).alias("_top"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select(*keys, "_chunk", F.max("_top").over(before).alias("_carried"))
+    within = Window.partitionBy(*keys, "_chunk").orderBy(at, F.col("_point") if same else ~F.col("_point")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = every.withColumn("_own", F.max(value).over(within)).filter("_point").join(carried, [*keys, "_chunk"])
+    return placed.select(*points.columns, F.coalesce("_own", "_carried").alias(value))
+
+
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per message: conv_id, turn, role, body, n_passages, n_linked,
     position (place in reply order: after the message that it answers),
@@ -106,11 +122,9 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     originals = (rows.join(quoting, "conv_id").select("conv_id", F.col("rank").alias("source"), F.explode(pieces).alias("piece"))
                  .select("conv_id", "source", F.md5("piece").alias("hash")))
     # The latest earlier holder of a hash: each quote and holder is a point on
-    # the conversation's line, so one ordered pass replaces a join of all pairs.
-    points = (originals.select("conv_id", "hash", F.col("source").alias("rank"), F.col("source").alias("held"), F.lit(None).cast("int").alias("level"), F.lit(1).alias("kind"))
-              .unionByName(quoted.select("conv_id", "hash", "rank", F.lit(None).cast("long").alias("held"), "level", F.lit(0).alias("kind"))))
-    line = Window.partitionBy("conv_id", "hash").orderBy("rank", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    linked = points.withColumn("source", F.max("held").over(line)).filter("kind = 0 and source is not null")
+    # the conversation's line, so ordered passes replace a join of all pairs.
+    holders = originals.select("conv_id", "hash", F.col("source").alias("rank"), "source")
+    linked = last_before(quoted, holders, ["conv_id", "hash"], "rank", "source", same=False).filter("source is not null")
     parents = (linked.groupBy("conv_id", "rank").agg(F.count(F.lit(1)).alias("n_linked"), F.max(F.struct(-F.col("level"), "source"))["source"].alias("quoted")))
     parents = scratch.table(parents, "quotes-parents")
 
@@ -118,20 +132,22 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     heads = parents.filter("quoted != rank - 1").select("conv_id", F.col("rank").alias("head"), "quoted")
     heads = heads.unionByName(heads.select("conv_id", F.lit(0).cast("long").alias("head"), F.lit(-1).cast("long").alias("quoted")).distinct())
     heads = scratch.table(heads, "quotes-heads")
-    spans = heads.withColumn("until", F.lead("head").over(Window.partitionBy("conv_id").orderBy("head")))
-    up = (heads.filter("head > 0").alias("h").join(spans.alias("s"), (F.col("h.conv_id") == F.col("s.conv_id")) & (F.col("h.quoted") >= F.col("s.head")) & (F.col("s.until").isNull() | (F.col("h.quoted") < F.col("s.until"))))
-          .select("h.conv_id", "h.head", F.col("s.head").alias("up"), (F.col("h.quoted") - F.col("s.head") + 1).alias("steps")))
+    answers = heads.filter("head > 0").select("conv_id", "head", F.col("quoted").alias("at"))
+    up = (last_before(answers, heads.select("conv_id", F.col("head").alias("at"), F.col("head").alias("up")), ["conv_id"], "at", "up", same=True)
+          .select("conv_id", "head", "up", (F.col("at") - F.col("up") + 1).alias("steps")))
     up, turn_no = scratch.table(up, "quotes-up-0"), 0
     while up.filter("up > 0").limit(1).count():
         over = up.select("conv_id", F.col("head").alias("up"), F.col("up").alias("further"), F.col("steps").alias("more"))
         turn_no += 1
         up = scratch.table(up.join(over, ["conv_id", "up"], "left").select("conv_id", "head", F.coalesce("further", F.lit(0)).alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), f"quotes-up-{turn_no}")
-    # A message's chain: the last head at or before it, as one ordered pass again.
+    # A message's chain: the last head at or before it, in chunks again.
     depths = up.select("conv_id", "head", F.col("steps").alias("depth"))
-    chains = spans.join(depths, ["conv_id", "head"], "left").select("conv_id", "head", "until", F.coalesce("depth", F.lit(0)).alias("at"))
+    chains = (heads.select("conv_id", "head").join(depths, ["conv_id", "head"], "left")
+              .select("conv_id", F.col("head").alias("rank"), F.struct("head", F.coalesce("depth", F.lit(0)).alias("at")).alias("chain")))
     some = rows.join(parents, ["conv_id", "rank"], "left")
-    placed = (some.alias("m").join(chains.alias("c"), (F.col("m.conv_id") == F.col("c.conv_id")) & (F.col("m.rank") >= F.col("c.head")) & (F.col("c.until").isNull() | (F.col("m.rank") < F.col("c.until"))), "left")
-              .select("m.*", F.coalesce(F.col("c.at") + F.col("m.rank") - F.col("c.head"), F.col("m.rank")).alias("depth")))
+    chained = last_before(some.filter("conv_id is not null"), chains, ["conv_id"], "rank", "chain", same=True).sortWithinPartitions("conv_id", "rank")
+    placed = (chained.unionByName(rows.filter("conv_id is null"), allowMissingColumns=True)
+              .withColumn("depth", F.coalesce(F.col("chain.at") + F.col("rank") - F.col("chain.head"), F.col("rank"))))
     reply = F.when(F.col("rank") > 0, F.coalesce("quoted", F.col("rank") - 1))
     return placed.select("conv_id", "turn", "role", "body", F.size("passages").cast("long").alias("n_passages"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
                          F.col("rank").alias("position"), reply.alias("reply_to"), F.col("depth").cast("long").alias("depth"))

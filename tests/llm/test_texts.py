@@ -285,6 +285,23 @@ def test_quotes_partial(spark):
                 assert got[c, t].reply_to == max((x for x in found if x is not None), default=t - 1), (texts, t)
 
 
+def test_quotes_one_conversation(spark):
+    """A conversation over several chunks: no join inside it compares all pairs, and all quotes are linked."""
+    rnd, n = random.Random(3), 3 * quotes.CHUNK
+    source = [None] + [rnd.randrange(t) if rnd.random() < 0.6 else None for t in range(1, n)]
+    rows = [(1, t, "a", f"line {t}" if s is None else f"> line {s}\n> common\nline {t}" if t % 2 else f"> line {s}\nline {t}\ncommon") for t, s in enumerate(source)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = quotes.link_quotes(df)
+    assert not re.search(r"Join .*\([^)]*(>=|<=|<|>) [^)]*\)", found._jdf.queryExecution().optimizedPlan().toString())
+    depth = [0] * n
+    for r in sorted(found.collect(), key=lambda r: r.turn):
+        t, s = r.turn, source[r.turn]
+        holds = s if s is not None and (t % 2 == 0 or (s % 2 == 0 and source[s] is not None)) else None
+        assert r.reply_to == (None if t == 0 else t - 1 if holds is None else holds)
+        depth[t] = 0 if t == 0 else depth[r.reply_to] + 1
+        assert r.depth == depth[t] and r.n_linked == (holds is not None)
+
+
 def test_oracles(spark):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "conversations"):

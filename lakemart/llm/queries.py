@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, embeddings, exact_dedup, licenses, minhash, packing, pii, quality, quotes, token_counts
+from . import alignment, bpe_codec, embeddings, exact_dedup, licenses, manifest, minhash, packing, pii, quality, quotes, token_counts
 from .common import table, vocabulary
 
 
@@ -58,8 +58,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", manifest.UPPER, manifest.LOWER)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, manifest.leaf(*fields, lowered))
+    found = manifest.manifest(table(spark, sf_dir, "documents"), carry={"tampered": tampered})
+    siblings = F.array_join(F.transform("proof", lambda s: F.concat(s["left"], s["right"])), "")
+    folded = found.withColumn("folded_root", manifest.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_statistics(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_quotes, op3_pii, op4_exact, op5_licenses, op6_packing, op7_embeddings, op8_bpe, op9_counts, op10_quality)}
+    f.__name__: f for f in (op1_minhash, op2_quotes, op3_pii, op4_exact, op5_licenses, op6_packing, op7_embeddings, op8_bpe, op9_counts, op10_quality, op11_manifest, op13_alignment)}
 
 ORACLE: dict[str, str] = {
     "op1_minhash": r"""
@@ -80,6 +94,7 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.a = w.doc_id""",
 SELECT doc_id, first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
        first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) = doc_id AS kept, sha256(norm) AS text_sha256
 FROM (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)""",
+    "op11_manifest": manifest.SQL,
     "op7_embeddings": r"""
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
 e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe_codec, embeddings, exact_dedup, licenses, manifest, minhash, packing, pii, quality, quotes, token_counts
+from . import alignment, bpe_codec, embeddings, exact_dedup, licenses, manifest, minhash, neighbours, packing, pii, quality, quotes, token_counts
 from .common import table, vocabulary
 
 
@@ -68,12 +68,16 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_statistics(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_quotes, op3_pii, op4_exact, op5_licenses, op6_packing, op7_embeddings, op8_bpe, op9_counts, op10_quality, op11_manifest, op13_alignment)}
+    f.__name__: f for f in (op1_minhash, op2_quotes, op3_pii, op4_exact, op5_licenses, op6_packing, op7_embeddings, op8_bpe, op9_counts, op10_quality, op11_manifest, op12_neighbours, op13_alignment)}
 
 ORACLE: dict[str, str] = {
     "op1_minhash": r"""

@@ -12,8 +12,9 @@ inner product on the original vectors.
 
 A vector at distance r lies in a window of half-width ``z r`` with the same
 chance on each direction, so the number of its collisions is binomial. ``z`` is
-set so that the threshold is reached with chance ``sure``. Windows widen until
-k vectors are verified; then ``z`` times the distance of the k-th is the width
+set so that the threshold is reached with chance ``sure``. The entries next to
+the centres give a first k-th distance; windows start a little inside its width
+and widen until they are ``z`` times the distance of the k-th verified vector:
 that finds all that are nearer with at least that chance, and the search ends.
 
 Queries meet all rows in blocks, in rounds of growing size: a query's k-th
@@ -59,54 +60,85 @@ class SortedArrays:
     """A block of vectors (rows of ``x``) under single-projection sorted arrays."""
 
     def __init__(self, x: np.ndarray, ids: np.ndarray, projections: int, threshold: int, sure: float, seed: int):
-        self.x, self.ids, self.threshold = x, ids, threshold
-        square = (x * x).sum(axis=1)
+        self.x, self.ids, self.threshold, self.z = x, ids, threshold, reach(projections, threshold, sure)
+        n, square = len(x), (x * x).sum(axis=1)
         self.top = float(np.sqrt(square.max()))
         self.directions = np.random.default_rng([seed, x.shape[1]]).normal(size=(x.shape[1] + 1, projections))
-        placed = x @ self.directions[:-1] + np.sqrt(np.maximum(self.top ** 2 - square, 0))[:, None] * self.directions[-1]
-        self.order = np.argsort(placed, axis=0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(placed.T, self.order, axis=1)
-        self.z = reach(projections, threshold, sure)
+        placed = (x @ self.directions[:-1] + np.sqrt(np.maximum(self.top ** 2 - square, 0))[:, None] * self.directions[-1]).T
+        order = np.argsort(placed, axis=1, kind="stable")
+        #: the arrays one after another, ``apart`` from each other, so that one search finds a window's bounds on all
+        self.least, self.most = placed.min() - self.top, placed.max() + self.top
+        self.apart = np.arange(projections) * (2 * (self.most - self.least))
+        self.sorted = (np.take_along_axis(placed, order, axis=1) + self.apart[:, None]).ravel()
+        self.begins = np.arange(projections) * n
+        self.order = order.astype(np.int32)
+        small = np.uint8 if projections < 256 else np.int64
+        kind = np.uint16 if n < 2 ** 16 else np.uint32
+        self.rank = np.empty((projections, n), kind)
+        np.put_along_axis(self.rank, order, np.arange(n, dtype=kind)[None, :], axis=1)
+        self._shifted, self._inside, self._sum = np.empty_like(self.rank), np.empty(self.rank.shape, bool), small
 
     def width(self, score: float, norm: float) -> float:
         """Half-width for all vectors with at least this inner product."""
         return self.z * math.sqrt(max(0.0, 2 * self.top ** 2 - 2 * self.top * score / norm)) + 1e-7 * self.top
 
-    def search(self, query_id: int, q: np.ndarray, k: int, bound: float | None, growth: float = 1.4) -> tuple[np.ndarray, np.ndarray, int]:
+    def windows(self, centres: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places in each array of the first entry inside and of the first behind."""
+        ends = [np.clip(c, self.least, self.most) + self.apart for c in (centres - width, centres + width)]
+        return tuple(np.searchsorted(self.sorted, e, side) - self.begins for e, side in zip(ends, ("left", "right")))
+
+    def widen(self, counts: np.ndarray, old: tuple[np.ndarray, np.ndarray], new: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Collisions after windows grew from old to new: of the added entries one
+        by one, or of all by their ranks where the windows are wide."""
+        added = (new[1] - new[0]).sum() - (old[1] - old[0]).sum()
+        if added * 8 < self.rank.size:
+            parts = [row[a:b] for row, a, b in zip(self.order, new[0].tolist(), old[0].tolist())]
+            parts += [row[a:b] for row, a, b in zip(self.order, old[1].tolist(), new[1].tolist())]
+            return counts + np.bincount(np.concatenate(parts), minlength=len(counts))
+        kind = self.rank.dtype
+        np.subtract(self.rank, new[0].astype(kind)[:, None], out=self._shifted)  # wraps below the window
+        np.less(self._shifted, (new[1] - new[0]).astype(kind)[:, None], out=self._inside)
+        return np.add.reduce(self._inside.view(np.uint8), axis=0, dtype=self._sum).astype(np.int64)
+
+    def search(self, query_id: int, q: np.ndarray, k: int, bound: float | None) -> tuple[np.ndarray, np.ndarray, int]:
         """(ids, scores, how many were verified): the k best found, or those
         among them that reach ``bound``."""
-        norm = float(np.sqrt(q @ q))
+        n, norm = len(self.ids), float(np.sqrt(q @ q))
         centres = (q * (self.top / norm)) @ self.directions[:-1]
-        n = len(self.ids)
-        low = high = np.array([np.searchsorted(row, c) for row, c in zip(self.sorted, centres)])
-        counts, fresh = np.zeros(n, np.int64), self.ids != query_id
-        places, scores = np.empty(0, np.int64), np.empty(0)
-        width = self.width(bound, norm) if bound is not None else self.z * self.top / 16
-        last = bound is not None
-        while True:
-            wider_low = np.array([np.searchsorted(row, c - width, "left") for row, c in zip(self.sorted, centres)])
-            wider_high = np.array([np.searchsorted(row, c + width, "right") for row, c in zip(self.sorted, centres)])
-            added = [row[a:b] for row, a, b in zip(self.order, wider_low.tolist(), low.tolist())]
-            added += [row[a:b] for row, a, b in zip(self.order, high.tolist(), wider_high.tolist())]
-            counts += np.bincount(np.concatenate(added), minlength=n)
-            low, high = wider_low, wider_high
-            new = np.flatnonzero((counts >= self.threshold) & fresh)
+        fresh = self.ids != query_id
+        places, scores = [np.empty(0, np.int64)], [np.empty(0)]
+
+        def verify(new: np.ndarray) -> None:
             fresh[new] = False
-            places, scores = np.concatenate([places, new]), np.concatenate([scores, self.x[new] @ q])
-            everything = not low.any() and (high == n).all()
-            if last or everything:
-                break
-            if len(places) < k:
-                width *= growth
-                continue
-            needed = self.width(np.partition(scores, len(scores) - k)[len(scores) - k], norm)
-            if needed <= width:
-                break
-            width, last = needed, True
+            places.append(new)
+            scores.append(self.x[new] @ q)
+
+        def kth() -> float | None:
+            known = np.concatenate(scores)
+            return np.partition(known, len(known) - k)[len(known) - k] if len(known) >= k else None
+
+        at = np.searchsorted(self.sorted, np.clip(centres, self.least, self.most) + self.apart) - self.begins
+        if bound is not None:
+            widths = [self.width(bound, norm)]
+        else:  # the entries next to the centres give a first distance, and windows start a little inside its width
+            beside = np.concatenate([self.order[np.arange(len(at)), np.clip(at + step, 0, n - 1)] for step in (-1, 0)])
+            beside = np.unique(beside)
+            verify(beside[fresh[beside]])
+            widths = [self.z * self.top / 4 if (first := kth()) is None else 0.8 * self.width(first, norm)]
+        counts, old = np.zeros(n, np.int64), (at, at)
+        while widths:
+            width = widths.pop()
+            new = self.windows(centres, width)
+            counts, old = self.widen(counts, old, new), new
+            verify(np.flatnonzero((counts >= self.threshold) & fresh))
+            if bound is None and (new[0].any() or (new[1] < n).any()):
+                needed = 2 * width if (found := kth()) is None else self.width(found, norm)
+                if needed > width:
+                    widths.append(needed)
+        places, scores = np.concatenate(places), np.concatenate(scores)
         verified = len(places)
-        if len(places) > k:  # ties and rounding are settled below, on the same sums for equal vectors
-            near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9 * self.top * norm
-            places = places[near]
+        if verified > k:  # ties and rounding are settled below, on the same sums for equal vectors
+            places = places[scores >= np.partition(scores, verified - k)[verified - k] - 1e-9 * self.top * norm]
         exact = (self.x[places] * q).sum(axis=1)
         best = np.lexsort((self.ids[places], -exact))[:k]
         if bound is not None:

@@ -17,6 +17,7 @@ from lakemart.functions.dates import (
     date_key,
     date_text,
     is_holiday,
+    is_public_holiday,
     is_weekend,
     iso_week,
     iso_weekday,
@@ -49,7 +50,7 @@ from lakemart.functions.variant import hash_key, parse_json, quote_name, variant
 __all__ = [
     "AREA_NAMES", "SPECIES_IDS", "SPECIES_NAMES", "abs_error", "area_id", "concat_key",
     "date_key", "date_text", "hash_key", "hp_to_kw",
-    "is_holiday", "is_weekend", "iso_week", "iso_weekday", "kg_to_tonnes", "kmh_to_ms",
+    "is_holiday", "is_public_holiday", "is_weekend", "iso_week", "iso_weekday", "kg_to_tonnes", "kmh_to_ms",
     "lpad_code", "month_of", "one_hot", "parse_json", "pct_deviation", "quote_name",
     "round_keep_null", "decimal_mean", "decimal_sum", "season", "species_id", "strip", "strip_dot0", "to_date_dayfirst",
     "to_date_fmt", "to_date_iso", "to_number", "to_timestamp_iso", "try_number",

@@ -74,6 +74,31 @@ def is_holiday(d: Column | str, holidays: Iterable[str]) -> Column:
     return _col(d).isin([F.lit(x).cast("date") for x in days])
 
 
+# Public holidays at a fixed month and day, and by days from Easter
+# Sunday (Maundy Thursday, Good Friday, Easter Monday, Ascension, Whit Monday).
+FIXED_DATE_HOLIDAYS = ((1, 1), (5, 1), (5, 17), (12, 25), (12, 26))
+EASTER_HOLIDAYS = (-3, -2, 1, 39, 50)
+
+
+def easter_sunday(year: Column) -> Column:
+    """Easter Sunday of a Gregorian year, by the anonymous computus in integer
+    column arithmetic (days counted from 22 March)."""
+    div = lambda a, b: F.floor(a / F.lit(b)).cast("int")
+    y = year.cast("int")
+    golden, century, rest = y % 19, div(y, 100), y % 100
+    moon = (19 * golden + century - div(century, 4) - div(century - div(century + 8, 25) + 1, 3) + 15) % 30
+    weekday = (32 + 2 * (century % 4) + 2 * div(rest, 4) - moon - rest % 4) % 7
+    late = div(golden + 11 * moon + 22 * weekday, 451)
+    return F.date_add(F.make_date(y, F.lit(3), F.lit(22)), moon + weekday - 7 * late)
+
+
+def is_public_holiday(d: Column | str) -> Column:
+    """Whether a date is a fixed-date or movable public holiday of its year."""
+    day = _col(d)
+    fixed = F.date_format(day, "MM-dd").isin([f"{m:02d}-{n:02d}" for m, n in FIXED_DATE_HOLIDAYS])
+    return fixed | F.date_diff(day, easter_sunday(F.year(day))).isin(*EASTER_HOLIDAYS)
+
+
 # Season names by month, as in the reference calendar.
 SEASON_BY_MONTH = {
     "vinter": (12, 1, 2),

@@ -15,8 +15,9 @@ def quote_name(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def parse_json(text: Column | str, strict: bool = False) -> Column:
-    """JSON text to VARIANT. Lenient by default: malformed text gives NULL."""
+def parse_json(text: Column | str, strict: bool = True) -> Column:
+    """JSON text to VARIANT. Malformed text fails the job, or gives NULL with
+    ``strict=False``."""
     return F.parse_json(_col(text)) if strict else F.try_parse_json(_col(text))
 
 

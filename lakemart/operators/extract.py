@@ -198,20 +198,21 @@ def vessel_master(lines: DataFrame, widths: DataFrame) -> DataFrame:
     )
 
 
-def round_mean(c: Column | str, places: int, divisor: float | None = None, in_scale: int = 3) -> Column:
-    """Mean rounded half-up on its exact decimal value (NULL when no values).
+def round_mean(c: Column | str, places: int, divisor: float | None = None, in_scale: int = 9) -> Column:
+    """Mean rounded half up on its decimal value (NULL when there are no values).
 
-    Inputs are taken at ``in_scale`` decimals; ``divisor`` (e.g. 3.6 for km/h
-    to m/s) divides the mean before rounding, in the same decimal division.
-    The quotient keeps 13 or more decimals, so the half-up step is exact for
-    any realistic count per group (24 readings per day for hourly data).
-    """
+    Inputs count with ``in_scale`` places, as in ``decimal_sum``. The rounding is
+    one integer division, ``(2 * unit * |sum| + count) div (2 * count)``, so no
+    quotient is rounded twice. ``divisor`` (e.g. 3.6 for km/h to m/s, at most two
+    places) divides the mean before it is rounded."""
     col = F.col(c) if isinstance(c, str) else c
-    total = F.sum(col.cast(f"decimal(20,{in_scale})")).cast(f"decimal(24,{in_scale})")
-    count = F.count(col)
-    den = (count.cast("decimal(18,0)") if divisor is None
-           else (count.cast("decimal(18,0)") * F.lit(divisor).cast("decimal(10,4)")).cast("decimal(18,4)"))
-    return F.round(total / F.nullif(den, F.lit(0)), places).cast("double")
+    unit, scaled = 10 ** places, 1 if divisor is None else round(divisor * 100)
+    total = F.sum(col.cast(f"decimal(29,{in_scale})")).cast(f"decimal(32,{in_scale})") * F.lit(10 ** in_scale if divisor is None else 10 ** in_scale * 100).cast("decimal(12,0)")
+    whole = total.cast("decimal(32,0)")
+    count = F.count(col).cast("decimal(18,0)") * F.lit(10 ** in_scale * scaled).cast("decimal(14,0)")
+    twice = F.lit(2).cast("decimal(1,0)")
+    up = F.call_function("div", F.abs(whole) * F.lit(2 * unit).cast("decimal(5,0)") + count, F.nullif(twice * count, F.lit(0)))
+    return F.when(F.count(col) > 0, F.signum(whole) * up.cast("double") / F.lit(float(unit)))
 
 
 def daily_sea(hourly: DataFrame, keys: Sequence[str] = ("area_code",)) -> DataFrame:

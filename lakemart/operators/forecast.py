@@ -35,11 +35,12 @@ class ForestParams:
 
 def forest_pipeline(features: Sequence[str], params: ForestParams = ForestParams(),
                     encode_species: bool = False) -> Pipeline:
-    """Assembler (+ optional species indexer/one-hot) and random forest."""
+    """Assembler (+ optional species indexer/one-hot) and random forest. A species
+    that the training rows lack has a column of its own, always 0 in training."""
     stages = []
     inputs = list(features)
     if encode_species:
-        stages += [StringIndexer(inputCol="species_id_text", outputCol="species_idx", stringOrderType="alphabetAsc"),
+        stages += [StringIndexer(inputCol="species_id_text", outputCol="species_idx", stringOrderType="alphabetAsc", handleInvalid="keep"),
                    OneHotEncoder(inputCols=["species_idx"], outputCols=["species_vec"], dropLast=False)]
         inputs.append("species_vec")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))

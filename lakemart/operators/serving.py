@@ -6,7 +6,7 @@ widget is an aggregate over one of them, after the shared multi-select filters.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +63,24 @@ def facet_counts(df: DataFrame, facet: str, other: Column) -> DataFrame:
     return df.groupBy(facet).agg(F.count_if(other).alias("n_rows"))
 
 
+def facets(df: DataFrame, dataset: str, filters: Mapping[str, Sequence]) -> DataFrame:
+    """(dataset, facet, value, n_rows): every value of each filter column with the
+    rows that pass the *other* filters. All facets come from one scan: one
+    grouping set a column, each with the count of its own predicate."""
+    columns = list(filters)
+    counts = []
+    for c in columns:
+        others = F.lit(True)
+        for other in columns:
+            if other != c and filters[other]:
+                others = others & F.coalesce(F.col(other).isin(list(filters[other])), F.lit(False))
+        counts.append(F.count_if(others).alias(f"_n_{c}"))
+    grouped = df.select(*columns).groupingSets([[c] for c in columns], *columns).agg(*counts, *[F.grouping(c).alias(f"_out_{c}") for c in columns])
+    pick = lambda make: F.coalesce(*[F.when(F.col(f"_out_{c}") == 0, make(c)) for c in columns])
+    return grouped.select(F.lit(dataset).alias("dataset"), pick(F.lit).alias("facet"), pick(lambda c: F.col(c).cast("string")).alias("value"),
+                          pick(lambda c: F.col(f"_n_{c}")).alias("n_rows"))
+
+
 def kpi_total_kg(hist: DataFrame) -> DataFrame:
     return hist.agg(F.sum("landed_kg").alias("total_kg"))
 

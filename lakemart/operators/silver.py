@@ -10,9 +10,9 @@ task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -154,8 +154,11 @@ def clean_landings(parsed: DataFrame, prefer_valid: bool = False) -> DataFrame:
 
     Order as in the reference: dedup, pad, filter, dropna.
     """
-    return (dedup_notes(parsed, prefer_valid)
-            .withColumn("area_code", lpad_code("area_code", 2))
+    return keep_valid(dedup_notes(parsed, prefer_valid))
+
+
+def keep_valid(notes: DataFrame) -> DataFrame:
+    return (notes.withColumn("area_code", lpad_code("area_code", 2))
             .filter(F.col("weight_kg") > 0)
             .dropna(subset=list(LANDING_KEYS)))
 
@@ -194,6 +197,23 @@ def quality_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
+def clean_landings_observed(parsed: DataFrame, prefer_valid: bool = False) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``clean_landings`` whose counts come from the run that writes it: rows in,
+    broken rules, distinct notes and rows out are observed on the way, so they
+    cost no second scan and no second dedup. The function returned gives them
+    once the DataFrame has been written (it waits until then)."""
+    before, notes, after = Observation("landings-in"), Observation("landings-notes"), Observation("landings-out")
+    seen = parsed.observe(before, F.count(F.lit(1)).alias("rows_in"),
+                          F.count_if(F.coalesce(F.col("weight_kg") <= 0, F.lit(True))).alias("bad_weight"),
+                          F.count_if(F.col("landing_date").isNull()).alias("missing_date"),
+                          F.count_if(F.col("vessel_id").isNull()).alias("missing_vessel"),
+                          F.count_if(F.col("species_code").isNull()).alias("missing_species"),
+                          F.count_if(lpad_code("area_code", 2).isNull()).alias("missing_area"))
+    single = dedup_notes(seen, prefer_valid).observe(notes, F.count("note_id").alias("distinct_notes"))
+    clean = keep_valid(single).observe(after, F.count(F.lit(1)).alias("rows_out"))
+    return clean, lambda: {**before.get, **notes.get, **after.get}
+
+
 def row_counts(**stages: DataFrame) -> DataFrame:
     """``(stage, rows)`` per named DataFrame, e.g. ``row_counts(bronze=b, silver=s)``."""
     out = None

@@ -1,7 +1,7 @@
 """The layer pipeline over the bound tables: Silver, mart, features, PRED.
 
-Each function returns a lazy DataFrame; callers decide where to materialise
-(``sinks.write_table``) to cut lineage between layers.
+``silver_*`` build Silver from the raw tables, lazily. Everything behind Silver
+reads the layer tables of ``shared``, written once for a state of the data.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from lakemart.functions import abs_error
 from lakemart.operators import features as feat
 from lakemart.operators import gold, silver
+from lakemart.operators.joins import fits_broadcast
 from lakemart.plans import bindings as b
-from lakemart.sources.sinks import materialize
+from lakemart.session import scratch_path
+from lakemart.sources.sinks import hottest_share, materialize, write_bucketed
 
 
 def silver_landings(spark: SparkSession, sf_dir: str, prefer_valid: bool = False) -> DataFrame:
@@ -34,38 +36,59 @@ def silver_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.calendar_table(spark, sf_dir)
 
 
-def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.weekly_mart(silver_landings(spark, sf_dir), silver_vessels(spark, sf_dir),
-                            silver_sea(spark, sf_dir), silver_calendar(spark, sf_dir),
-                            species_ids=b.BOUND_SPECIES_IDS,
-                            broadcast_vessels=b.vessels_fit_broadcast(spark, sf_dir))
-
-
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.feature_mart(mart(spark, sf_dir))
-
-
 class Layers:
     """The layer tables of one run. Each is written when first asked for, after
     the layers that it reads, and read back by all that follow: Silver runs
-    once, and a dimension's size is known before it is joined."""
+    once, and a dimension's size is known before it is joined.
+
+    Landings and vessels are written in buckets of the vessel id, so that the
+    vessel join and the first aggregation by vessel move no row of the fact. A
+    vessel that alone would fill a bucket several times over (``HOT_BUCKETS``)
+    would make one task of it: then the tables are plain, and adaptive execution
+    splits the join."""
 
     NAMES = ("silver_landings", "silver_vessels", "silver_sea", "silver_calendar", "dim_species", "dim_area",
              "dim_vessel", "dim_date", "fact_landings", "mart", "features")
+    HOT_BUCKETS = 4
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, buckets: int | None = None):
         self.spark, self.sf_dir = spark, sf_dir
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._names: list[str] = []
 
     def build(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.NAMES}
 
+    def drop(self) -> None:
+        """Remove what has been written."""
+        for name in self.NAMES:
+            if name in self.__dict__:
+                for file in {f.rpartition("/")[0] for f in self.__dict__.pop(name).inputFiles()}:
+                    where = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+                    where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        for name in self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._names.clear()
+
+    def _by_vessel(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.bucketed:
+            return materialize(df, name)
+        path = scratch_path(self.spark, name)
+        self._names.append(f"layer_{path.rsplit('/', 1)[-1].replace('-', '_')}")
+        return write_bucketed(df, self._names[-1], path, "vessel_id", self.buckets)
+
+    @cached_property
+    def bucketed(self) -> bool:
+        return hottest_share(b.landings(self.spark, self.sf_dir).filter("vessel_id is not null"), "vessel_id") * self.buckets <= self.HOT_BUCKETS
+
     @cached_property
     def silver_landings(self) -> DataFrame:
-        return materialize(silver_landings(self.spark, self.sf_dir), "silver-landings")
+        clean, self.landing_counts = silver.clean_landings_observed(b.landings(self.spark, self.sf_dir))
+        return self._by_vessel(clean, "silver-landings")
 
     @cached_property
     def silver_vessels(self) -> DataFrame:
-        return materialize(silver_vessels(self.spark, self.sf_dir), "silver-vessels")
+        return self._by_vessel(silver_vessels(self.spark, self.sf_dir), "silver-vessels")
 
     @cached_property
     def silver_sea(self) -> DataFrame:
@@ -85,29 +108,73 @@ class Layers:
 
     @cached_property
     def dim_vessel(self) -> DataFrame:
-        return materialize(gold.dim_vessel(self.silver_vessels), "dim-vessel")
+        return self._by_vessel(gold.dim_vessel(self.silver_vessels), "dim-vessel")
 
     @cached_property
     def dim_date(self) -> DataFrame:
         return materialize(gold.dim_date(self.silver_calendar), "dim-date")
 
+    def fact_plan(self) -> DataFrame:
+        """The fact over the written Silver: its own species, areas and dates are
+        the dimensions, so only the vessels are joined."""
+        return gold.fact_of_own_dims(self.silver_landings, self.dim_vessel)
+
+    def mart_plan(self) -> DataFrame:
+        return gold.weekly_mart(self.silver_landings, self.silver_vessels, self.silver_sea, self.silver_calendar,
+                                species_ids=b.BOUND_SPECIES_IDS, broadcast_vessels=fits_broadcast(self.silver_vessels))
+
     @cached_property
     def fact_landings(self) -> DataFrame:
-        fact = gold.fact_landings(self.silver_landings, self.dim_species, self.dim_area, self.dim_vessel, self.dim_date)
-        return materialize(fact, "fact-landings")
+        return materialize(self.fact_plan(), "fact-landings")
 
     @cached_property
     def mart(self) -> DataFrame:
-        weekly = gold.weekly_mart(self.silver_landings, self.silver_vessels, self.silver_sea, self.silver_calendar,
-                                  species_ids=b.BOUND_SPECIES_IDS,
-                                  broadcast_vessels=b.vessels_fit_broadcast(self.spark, self.sf_dir))
-        return materialize(weekly, "mart")
+        return materialize(self.mart_plan(), "mart")
 
     @cached_property
     def features(self) -> DataFrame:
         return materialize(feat.feature_mart(self.mart), "features")
 
 
+_SHARED: dict[tuple, tuple[tuple, Layers]] = {}
+
+
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the data files: what is kept for one state of a
+    folder does not serve another."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
+def shared(spark: SparkSession, sf_dir: str) -> Layers:
+    """The layer tables of this application for one state of a data folder: all
+    queries on Silver, the mart and the features read these."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    state = version(spark, sf_dir)
+    if key not in _SHARED or _SHARED[key][0] != state:
+        if key in _SHARED:
+            _SHARED[key][1].drop()
+        _SHARED[key] = (state, Layers(spark, sf_dir))
+    return _SHARED[key][1]
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove the shared layer tables of this application."""
+    for key in [k for k in _SHARED if k[0] == spark.sparkContext.applicationId]:
+        _SHARED.pop(key)[1].drop()
+
+
+def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written mart."""
+    return shared(spark, sf_dir).mart
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features over the written mart."""
+    return feat.feature_mart(mart(spark, sf_dir))
+
+
 def species_levels() -> list[int]:
     """Species ids the bound mart can hold (the map's ids and the catch-all)."""
     from lakemart.functions.codes import OTHER_SPECIES_ID

@@ -100,6 +100,13 @@ BASE: dict[str, str] = {
       FROM (SELECT date, lpad(area_code, 2, '0') AS area_code, area_name, sea_temp_c,
                    wave_height_m, current_speed_ms FROM sea_raw)
       WHERE date IS NOT NULL AND area_code IS NOT NULL) WHERE rn = 1""",
+    # Easter by Gauss's rule with its two exceptions (the Spark side uses another method).
+    "easter": """
+    SELECT y, CAST(make_date(y, 3, 22) + CAST(CASE WHEN d = 29 AND e = 6 THEN 28 WHEN d = 28 AND e = 6 AND (11 * m + 11) % 30 < 19 THEN 27 ELSE d + e END AS INTEGER) AS DATE) AS easter
+    FROM (SELECT *, (2 * (y % 4) + 4 * (y % 7) + 6 * d + n) % 7 AS e
+          FROM (SELECT *, (19 * (y % 19) + m) % 30 AS d
+                FROM (SELECT y, (15 - (13 + 8 * (y // 100)) // 25 + y // 100 - y // 400) % 30 AS m, (4 + y // 100 - y // 400) % 7 AS n
+                      FROM (SELECT CAST(unnest(generate_series(1900, 2199)) AS INTEGER) AS y))))""",
     "calendar": """
     SELECT d AS date,
            CAST(date_trunc('week', d) AS DATE) AS week_start,
@@ -108,7 +115,8 @@ BASE: dict[str, str] = {
            CAST(weekofyear(d) AS INTEGER) AS iso_week,
            CAST(isodow(d) AS INTEGER) AS weekday,
            isodow(d) >= 6 AS is_weekend,
-           strftime(d, '%m-%d') IN ('01-01', '05-01', '05-17', '12-25', '12-26') AS is_holiday,
+           strftime(d, '%m-%d') IN ('01-01', '05-01', '05-17', '12-25', '12-26')
+             OR date_diff('day', (SELECT easter FROM easter WHERE y = year(d)), CAST(d AS DATE)) IN (-3, -2, 1, 39, 50) AS is_holiday,
            CASE WHEN month(d) IN (12, 1, 2) THEN 'vinter' WHEN month(d) IN (3, 4, 5) THEN 'vaar'
                 WHEN month(d) IN (6, 7, 8) THEN 'sommer' ELSE 'hoest' END AS season
     FROM (SELECT CAST(unnest(generate_series(date_trunc('week', min(t)), date_trunc('week', max(t)) + INTERVAL 6 DAY, INTERVAL 1 DAY)) AS DATE) AS d
@@ -190,6 +198,41 @@ BASE: dict[str, str] = {
 }
 
 
+# The five primes of the public 64-bit xxHash, and Spark's seed.
+_P1, _P2, _P3, _P4, _P5 = (f"{p}::UHUGEINT" for p in (
+    11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+_SEED, _WORD = 42, f"{2 ** 64}::UHUGEINT"
+
+
+def xxhash64(text: str) -> str:
+    """The xxHash64 of a text of fewer than 32 bytes as DuckDB computes it in wide
+    integers modulo 2^64; equal to Spark's. ``text`` is a column name."""
+    def rotated(x: str, bits: int) -> str:
+        return f"list_transform([{x}], lambda x: (x * {2 ** bits}) % {_WORD} + x // {2 ** (64 - bits)})[1]"
+
+    def little(part: str) -> str:
+        return f"list_reduce(list_reverse({part}), lambda u, v: u * 256 + v)"
+
+    # The text's bytes; then its 8-byte words, a 4-byte word and single bytes, marked by how many 2^64 are added.
+    raw = f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT::UHUGEINT)"
+    steps = (f"list_transform(range(0, len(b) // 8), lambda w: {little('b[8 * w + 1:8 * w + 8]')}) || "
+             f"CASE WHEN len(b) % 8 >= 4 THEN [{_WORD} + {little('b[len(b) // 8 * 8 + 1:len(b) // 8 * 8 + 4]')}] ELSE [] END || "
+             f"list_transform(b[len(b) // 4 * 4 + 1:len(b)], lambda t: 2 * {_WORD} + t)")
+    whole = f"({rotated(f'xor(h, ({rotated(f'(s * {_P2}) % {_WORD}', 31)} * {_P1}) % {_WORD})', 27)} * {_P1} + {_P4}) % {_WORD}"
+    half = f"({rotated(f'xor(h, ((s % {_WORD}) * {_P1}) % {_WORD})', 23)} * {_P2} + {_P3}) % {_WORD}"
+    single = f"({rotated(f'xor(h, ((s % {_WORD}) * {_P5}) % {_WORD})', 11)} * {_P1}) % {_WORD}"
+    mixed = (f"list_transform([{raw}], lambda b: list_reduce([({_SEED} + {_P5} + len(b)::UHUGEINT) % {_WORD}] || {steps}, "
+             f"lambda h, s: CASE WHEN s < {_WORD} THEN {whole} WHEN s < 2 * {_WORD} THEN {half} ELSE {single} END))[1]")
+    for bits, prime in ((33, _P2), (29, _P3), (32, "1::UHUGEINT")):
+        mixed = f"list_transform([{mixed}], lambda m: (xor(m, m // {2 ** bits}) * {prime}) % {_WORD})[1]"
+    return f"list_transform([{mixed}], lambda m: CASE WHEN m >= {2 ** 63} THEN (m::HUGEINT - {2 ** 64}::HUGEINT)::BIGINT ELSE m::BIGINT END)[1]"
+
+
+def hashed(table: str, column: str, key: str) -> str:
+    """A table of the distinct values of a column with their hash keys."""
+    return f"(SELECT {column}, {xxhash64(column)} AS {key} FROM (SELECT DISTINCT {column} FROM {table} WHERE {column} IS NOT NULL))"
+
+
 def sql(final: str) -> str:
     ctes = ",\n".join(f"{name} AS ({body}\n)" for name, body in BASE.items())
     return f"WITH {ctes}\n{final}"

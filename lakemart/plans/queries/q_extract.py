@@ -12,7 +12,7 @@ from lakemart.plans import raw_files as raw
 from lakemart.plans.catalog import register
 from lakemart.plans.oracle import sql
 from lakemart.plans.queries.q_sources import _REGISTER_SQL, REGISTER_COLUMNS
-from lakemart.sources import files
+from lakemart.sources import bronze, files
 
 # The date range that the extract is cut to (its feature).
 START, END = "1995-01-01", "2001-12-31"
@@ -261,7 +261,8 @@ FROM events"""
 
 
 def _hourly(spark, sf):
-    return files.explode_hourly(b.hourly_replies(spark, sf), keep=["event_type"])
+    """Reply files -> VARIANT Bronze -> one row per reading."""
+    return files.open_replies(bronze.jsonl_to_variant(spark, raw.hourly_jsonl(spark, sf)), keep=["event_type"])
 
 
 @register("src_hourly_arrays", sql(_HOURLY_SQL))
@@ -275,12 +276,13 @@ def _half_up(num: str, den: str, unit: int) -> str:
     return (f"CAST(sign({num}) * ((2 * {unit} * abs({num}) + {den}) // (2 * {den})) AS DOUBLE) / {unit}.0")
 
 
+_NANO_SUM = "sum(CAST(replace(CAST(CAST(value AS DECIMAL(28,9)) AS VARCHAR), '.', '') AS HUGEINT))"
 _K_SUM = "sum(CAST(json_extract_string(props, '$.k') AS HUGEINT))"
 
 
 @register("agg_hour_to_day", sql(f"""
 SELECT event_type, CAST(ts AS DATE) AS date,
-       {_half_up('sum(CAST(round(value * 1000) AS HUGEINT))', '(1000 * count(value))', 100)} AS sea_temp_c,
+       {_half_up(_NANO_SUM, '(1000000000 * CAST(count(value) AS HUGEINT))', 100)} AS sea_temp_c,
        {_half_up(_K_SUM, 'count(*)', 100)}
          AS wave_height_m,
        {_half_up('(10 * sum(CAST(user_id AS HUGEINT)))', '(36 * count(user_id))', 1000)} AS current_speed_ms

@@ -22,18 +22,10 @@ def _feature_names() -> list[str]:
     return feat.feature_columns(layers.species_levels())
 
 
-def _version(spark, sf):
-    """Names, sizes and times of the data files: what is kept for one state of a
-    folder does not serve another."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(sf)
-    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
-    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
-
-
 def _model_rows(spark, sf):
     """Model input written once per session and data folder (small: one row
     per week x species x area), shared by the training and holdout splits."""
-    key = (spark.sparkContext.applicationId, sf, _version(spark, sf))
+    key = (spark.sparkContext.applicationId, sf, layers.version(spark, sf))
     if key not in _ROWS:
         _ROWS[key] = sinks.materialize(layers.model_rows(spark, sf), "model-rows")
     return _ROWS[key]
@@ -46,7 +38,7 @@ def _split(spark, sf):
 
 def _model(spark, sf, params: fc.ForestParams = fc.ForestParams(), encode_species: bool = False):
     """Fitted pipeline per (data folder, settings), reused within a session."""
-    key = (spark.sparkContext.applicationId, sf, _version(spark, sf), params, encode_species)
+    key = (spark.sparkContext.applicationId, sf, layers.version(spark, sf), params, encode_species)
     if key not in _MODELS:
         train, _ = _split(spark, sf)
         names = [c for c in _feature_names() if not (encode_species and c.startswith("species_"))]
@@ -116,7 +108,9 @@ def win_trend_grouped(spark, sf):
                       F.round("mean_8", 9).alias("mean_8"), F.round("lag_8", 9).alias("lag_8"))
 
 
-@register("ml_species_levels")
+@register("ml_species_levels", sql("""
+SELECT CAST(row_number() OVER (ORDER BY species_id) - 1 AS INTEGER) AS idx, species_id
+FROM (SELECT DISTINCT CAST(species_id AS VARCHAR) AS species_id FROM model_rows WHERE target_week <= DATE '2001-06-25' AND target_year = 2001)"""))
 def ml_species_levels(spark, sf):
     train, _ = _split(spark, sf)
     return fc.species_levels(train)

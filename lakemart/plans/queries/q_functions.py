@@ -178,11 +178,18 @@ def fn_weekend(spark, sf):
 
 
 @register("fn_holiday", sql("""
-SELECT note_id, strftime(landing_date, '%m-%d') IN ('01-01', '05-01', '05-17', '12-25', '12-26') AS is_holiday
-FROM silver_landings"""))
+SELECT l.note_id, c.is_holiday FROM silver_landings l JOIN calendar c ON l.landing_date = c.date"""))
 def fn_holiday(spark, sf):
-    from lakemart.sources.calendar import on_fixed_holiday
-    return layers.silver_landings(spark, sf).select("note_id", on_fixed_holiday("landing_date").alias("is_holiday"))
+    return layers.silver_landings(spark, sf).select("note_id", fn.is_public_holiday("landing_date").alias("is_holiday"))
+
+
+@register("fn_easter", sql("""
+SELECT DISTINCT CAST(e.y AS INTEGER) AS year, e.easter FROM easter e JOIN (SELECT DISTINCT year FROM calendar) c ON c.year = e.y"""))
+def fn_easter(spark, sf):
+    """Easter Sunday of each year of the data's calendar."""
+    from lakemart.functions.dates import easter_sunday
+    years = layers.shared(spark, sf).silver_calendar.select("year").distinct()
+    return years.select("year", easter_sunday(F.col("year")).alias("easter"))
 
 
 @register("fn_season", sql("""

@@ -9,51 +9,60 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import features as feat
 from lakemart.operators import gold
-from lakemart.operators.joins import broadcast_if_fits
+from lakemart.operators.joins import broadcast_if_fits, fits_broadcast
 from lakemart.plans import bindings as b
 from lakemart.plans import layers
 from lakemart.plans.catalog import register
-from lakemart.plans.oracle import sql
+from lakemart.plans.oracle import hashed, sql
 
 GRAIN = "week_start, species_code, species_name, area_code, area_name"
 
 
-def _silver(spark, sf):
-    return (layers.silver_landings(spark, sf), layers.silver_vessels(spark, sf),
-            layers.silver_sea(spark, sf), layers.silver_calendar(spark, sf))
-
-
 def _lv(spark, sf):
-    landings, vessels, _, _ = _silver(spark, sf)
-    return gold.landings_with_vessel(landings, vessels, b.vessels_fit_broadcast(spark, sf))
+    tables = layers.shared(spark, sf)
+    return gold.landings_with_vessel(tables.silver_landings, tables.silver_vessels, fits_broadcast(tables.silver_vessels))
 
 
 # -- dimensions -------------------------------------------------------------
 
 @register("distinct_pairs", sql("SELECT DISTINCT species_code, species_name FROM silver_landings"))
 def distinct_pairs(spark, sf):
-    return gold.code_pairs(layers.silver_landings(spark, sf), "species_code", "species_name")
+    return gold.code_pairs(layers.shared(spark, sf).silver_landings, "species_code", "species_name")
+
 
+_SPECIES_KEYS = hashed("silver_landings", "species_code", "species_key")
+_AREA_KEYS = hashed("silver_landings", "area_code", "area_key")
+_VESSEL_KEYS = hashed("silver_vessels", "vessel_id", "vessel_key")
+HASHED_FACT = sql(f"""
+SELECT l.note_id, CAST(strftime(l.landing_date, '%Y%m%d') AS INTEGER) AS date_key, v.vessel_key,
+       CASE WHEN l.species_name IS NOT NULL THEN s.species_key END AS species_key,
+       CASE WHEN l.area_name IS NOT NULL THEN a.area_key END AS area_key,
+       l.landing_date, l.vessel_id, l.species_code, l.area_code, l.gear_code, l.weight_kg
+FROM silver_landings l LEFT JOIN {_VESSEL_KEYS} v USING (vessel_id)
+LEFT JOIN {_SPECIES_KEYS} s USING (species_code) LEFT JOIN {_AREA_KEYS} a USING (area_code)""")
 
-@register("dim_species")
+
+@register("dim_species", sql(f"""
+SELECT k.species_key, d.* FROM (SELECT DISTINCT species_code, species_name FROM silver_landings) d LEFT JOIN {_SPECIES_KEYS} k USING (species_code)"""))
 def dim_species(spark, sf):
-    return gold.dim_species(layers.silver_landings(spark, sf))
+    return gold.dim_species(layers.shared(spark, sf).silver_landings)
 
 
-@register("dim_area")
+@register("dim_area", sql(f"""
+SELECT k.area_key, d.* FROM (SELECT DISTINCT area_code, area_name FROM silver_landings) d LEFT JOIN {_AREA_KEYS} k USING (area_code)"""))
 def dim_area(spark, sf):
-    return gold.dim_area(layers.silver_landings(spark, sf))
+    return gold.dim_area(layers.shared(spark, sf).silver_landings)
 
 
-@register("dim_vessel")
+@register("dim_vessel", sql(f"SELECT k.vessel_key, v.* FROM silver_vessels v LEFT JOIN {_VESSEL_KEYS} k USING (vessel_id)"))
 def dim_vessel(spark, sf):
-    return gold.dim_vessel(layers.silver_vessels(spark, sf))
+    return gold.dim_vessel(layers.shared(spark, sf).silver_vessels)
 
 
 @register("dim_date", sql("""
 SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM calendar"""))
 def dim_date(spark, sf):
-    return gold.dim_date(layers.silver_calendar(spark, sf))
+    return gold.dim_date(layers.shared(spark, sf).silver_calendar)
 
 
 @register("dim_key_unique", sql("""
@@ -64,7 +73,7 @@ SELECT 'area', CAST(count(DISTINCT area_code) AS BIGINT), CAST(count(DISTINCT ar
 FROM silver_landings"""))
 def dim_key_unique(spark, sf):
     """Hash keys are one-to-one with codes: distinct codes = distinct keys."""
-    landings = layers.silver_landings(spark, sf)
+    landings = layers.shared(spark, sf).silver_landings
     sp = gold.dim_species(landings).agg(F.countDistinct("species_code").alias("n_codes"),
                                         F.countDistinct("species_key").alias("n_keys"))
     ar = gold.dim_area(landings).agg(F.countDistinct("area_code").alias("n_codes"),
@@ -80,7 +89,7 @@ SELECT l.note_id, l.species_code, l.species_name, d.species_code IS NOT NULL AS
 FROM silver_landings l LEFT JOIN (SELECT DISTINCT species_code, species_name FROM silver_landings) d
   ON l.species_code = d.species_code AND l.species_name = d.species_name"""))
 def join_dim_species(spark, sf):
-    tables = layers.Layers(spark, sf)
+    tables = layers.shared(spark, sf)
     dim = broadcast_if_fits(tables.dim_species)
     return (tables.silver_landings.join(dim, ["species_code", "species_name"], "left")
             .select("note_id", "species_code", "species_name",
@@ -92,7 +101,7 @@ SELECT l.note_id, l.area_code, l.area_name, d.area_code IS NOT NULL AS area_foun
 FROM silver_landings l LEFT JOIN (SELECT DISTINCT area_code, area_name FROM silver_landings) d
   ON l.area_code = d.area_code AND l.area_name = d.area_name"""))
 def join_dim_area(spark, sf):
-    tables = layers.Layers(spark, sf)
+    tables = layers.shared(spark, sf)
     dim = broadcast_if_fits(tables.dim_area)
     return (tables.silver_landings.join(dim, ["area_code", "area_name"], "left")
             .select("note_id", "area_code", "area_name", F.col("area_key").isNotNull().alias("area_found")))
@@ -102,10 +111,8 @@ def join_dim_area(spark, sf):
 SELECT l.note_id, l.vessel_id, v.vessel_id IS NOT NULL AS vessel_found
 FROM silver_landings l LEFT JOIN silver_vessels v ON l.vessel_id = v.vessel_id"""))
 def join_dim_vessel(spark, sf):
-    landings, vessels, _, _ = _silver(spark, sf)
-    keys = gold.dim_vessel(vessels).select("vessel_id", "vessel_key")
-    keys = F.broadcast(keys) if b.vessels_fit_broadcast(spark, sf) else keys
-    return (landings.join(keys, "vessel_id", "left")
+    tables = layers.shared(spark, sf)
+    return (tables.silver_landings.join(broadcast_if_fits(tables.dim_vessel.select("vessel_id", "vessel_key")), "vessel_id", "left")
             .select("note_id", "vessel_id", F.col("vessel_key").isNotNull().alias("vessel_found")))
 
 
@@ -113,19 +120,25 @@ def join_dim_vessel(spark, sf):
 SELECT l.note_id, l.landing_date, CAST(strftime(c.date, '%Y%m%d') AS INTEGER) AS date_key
 FROM silver_landings l LEFT JOIN calendar c ON l.landing_date = c.date"""))
 def join_dim_date(spark, sf):
-    landings = layers.silver_landings(spark, sf)
-    dates = gold.dim_date(layers.silver_calendar(spark, sf))
+    landings = layers.shared(spark, sf).silver_landings
+    dates = layers.shared(spark, sf).dim_date
     return (landings.join(broadcast_if_fits(dates.select(F.col("date").alias("landing_date"), "date_key")),
                           "landing_date", "left")
             .select("note_id", "landing_date", "date_key"))
 
 
-@register("fact_landings")
+@register("fact_landings", HASHED_FACT)
 def fact_landings(spark, sf):
-    """Silver and the dimensions are written first, each once (as the reference
-    does); the written size is then known, so each dimension is broadcast behind
-    the size check and the fact is joined without being shuffled."""
-    return layers.Layers(spark, sf).fact_landings
+    """The fact over the written Silver and vessel dimension, joined without a
+    shuffle of the fact: by broadcast behind the size check, else by buckets."""
+    return layers.shared(spark, sf).fact_plan()
+
+
+@register("fact_landings_joined", HASHED_FACT)
+def fact_landings_joined(spark, sf):
+    """The same fact by a left join to each of the four written dimensions."""
+    t = layers.shared(spark, sf)
+    return gold.fact_landings(t.silver_landings, t.dim_species, t.dim_area, t.dim_vessel, t.dim_date)
 
 
 @register("fact_landings_checked", sql("""
@@ -160,24 +173,24 @@ UNION ALL SELECT 'features', CAST(count(*) AS BIGINT) FROM features"""))
 def layer_counts(spark, sf):
     """The whole pipeline: every layer written once; rows of each table."""
     counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("rows"))
-              for name, df in layers.Layers(spark, sf).build().items()]
+              for name, df in layers.shared(spark, sf).build().items()]
     return reduce(DataFrame.unionByName, counts)
 
 
 @register("layer_silver_landings", sql("SELECT * FROM silver_landings"))
 def layer_silver_landings(spark, sf):
-    return layers.Layers(spark, sf).silver_landings
+    return layers.shared(spark, sf).silver_landings
 
 
 @register("layer_mart", sql("SELECT * FROM mart"))
 def layer_mart(spark, sf):
-    return layers.Layers(spark, sf).mart
+    return layers.shared(spark, sf).mart
 
 
 @register("layer_features", sql("""
 SELECT * REPLACE (round(week_sin, 10) AS week_sin, round(week_cos, 10) AS week_cos) FROM features"""))
 def layer_features(spark, sf):
-    df = layers.Layers(spark, sf).features
+    df = layers.shared(spark, sf).features
     return df.withColumn("week_sin", F.round("week_sin", 10)).withColumn("week_cos", F.round("week_cos", 10))
 
 
@@ -212,24 +225,24 @@ def join_volume_fleet(spark, sf):
 
 @register("agg_week_sea", sql("SELECT * FROM week_sea"))
 def agg_week_sea(spark, sf):
-    return gold.week_sea(layers.silver_sea(spark, sf))
+    return gold.week_sea(layers.shared(spark, sf).silver_sea)
 
 
 @register("filt_monday", sql("SELECT * FROM calendar WHERE weekday = 1"))
 def filt_monday(spark, sf):
-    return layers.silver_calendar(spark, sf).filter(F.col("weekday") == 1)
+    return layers.shared(spark, sf).silver_calendar.filter(F.col("weekday") == 1)
 
 
 @register("dedup_week", sql("SELECT * FROM week_calendar"))
 def dedup_week(spark, sf):
-    return gold.week_calendar(layers.silver_calendar(spark, sf))
+    return gold.week_calendar(layers.shared(spark, sf).silver_calendar)
 
 
 @register("join_sea_week", sql(f"""
 SELECT vo.*, s.sea_temp_c, s.wave_height_m, s.current_speed_ms
 FROM week_volume vo LEFT JOIN week_sea s USING (week_start, area_code)"""))
 def join_sea_week(spark, sf):
-    return gold.week_volume(_lv(spark, sf)).join(gold.week_sea(layers.silver_sea(spark, sf)),
+    return gold.week_volume(_lv(spark, sf)).join(gold.week_sea(layers.shared(spark, sf).silver_sea),
                                                  ["week_start", "area_code"], "left")
 
 
@@ -237,18 +250,20 @@ def join_sea_week(spark, sf):
 SELECT vo.*, c.iso_week, c.month, c.season FROM week_volume vo LEFT JOIN week_calendar c USING (week_start)"""))
 def join_week_calendar(spark, sf):
     return gold.week_volume(_lv(spark, sf)).join(
-        broadcast_if_fits(gold.week_calendar(layers.silver_calendar(spark, sf))), "week_start", "left")
+        broadcast_if_fits(gold.week_calendar(layers.shared(spark, sf).silver_calendar)), "week_start", "left")
 
 
 @register("mart_week", sql("SELECT * FROM mart"))
 def mart_week(spark, sf):
-    return layers.mart(spark, sf)
+    """The mart computed from the written Silver tables."""
+    return layers.shared(spark, sf).mart_plan()
 
 
 @register("mart_week_joined", sql("SELECT * FROM mart"))
 def mart_week_joined(spark, sf):
-    landings, vessels, sea, calendar = _silver(spark, sf)
-    return gold.weekly_mart_joined(landings, vessels, sea, calendar, b.BOUND_SPECIES_IDS)
+    t = layers.shared(spark, sf)
+    return gold.weekly_mart_joined(t.silver_landings, t.silver_vessels, t.silver_sea, t.silver_calendar, b.BOUND_SPECIES_IDS,
+                                   fits_broadcast(t.silver_vessels))
 
 
 @register("sort_preview", sql(f"SELECT * FROM mart ORDER BY {GRAIN} LIMIT 20"))
@@ -298,7 +313,7 @@ SELECT week_start, iso_week, round(sin(2 * pi() * iso_week / 52.0), 10) AS week_
        round(cos(2 * pi() * iso_week / 52.0), 10) AS week_cos FROM week_calendar"""))
 def fn_cyclic(spark, sf):
     from lakemart.functions import week_cos, week_sin
-    weeks = gold.week_calendar(layers.silver_calendar(spark, sf))
+    weeks = gold.week_calendar(layers.shared(spark, sf).silver_calendar)
     # sin/cos differ between math libraries in the last bit: compare at 10 places.
     return weeks.select("week_start", "iso_week", F.round(week_sin("iso_week"), 10).alias("week_sin"),
                         F.round(week_cos("iso_week"), 10).alias("week_cos"))
@@ -324,11 +339,38 @@ def win_dense_weeks(spark, sf):
     return feat.dense_weeks(mart)
 
 
-@register("fn_hash_key")
+_CARRIED = ", ".join(f"CASE WHEN given IS NULL THEN last_value({c} IGNORE NULLS) OVER c ELSE {c} END AS {c}" for c in feat.CARRIED)
+
+
+@register("mart_features_dense", sql(f"""
+SELECT *, round(sin(2 * pi() * iso_week / 52.0), 10) AS week_sin, round(cos(2 * pi() * iso_week / 52.0), 10) AS week_cos,
+       CAST(week_start + INTERVAL 7 DAY AS DATE) AS target_week,
+       CAST(year(week_start + INTERVAL 7 DAY) AS INTEGER) AS target_year, CAST(month(week_start + INTERVAL 7 DAY) AS INTEGER) AS target_month
+FROM (SELECT *, lag(landed_kg, 1) OVER w AS lag_1, lag(landed_kg, 4) OVER w AS lag_4,
+             avg(landed_kg) OVER (w ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS mean_4, lead(landed_kg, 1) OVER w AS target_kg
+      FROM (SELECT species_code, area_code, week_start, coalesce(landed_kg, 0.0) AS landed_kg, coalesce(n_notes, 0) AS n_notes, {_CARRIED},
+                   CAST(weekofyear(week_start) AS INTEGER) AS iso_week, CAST(month(week_start) AS INTEGER) AS month,
+                   CASE WHEN month(week_start) IN (12, 1, 2) THEN 'vinter' WHEN month(week_start) IN (3, 4, 5) THEN 'vaar'
+                        WHEN month(week_start) IN (6, 7, 8) THEN 'sommer' ELSE 'hoest' END AS season
+            FROM (SELECT s.species_code, s.area_code, s.week_start, m.* EXCLUDE (species_code, area_code, week_start)
+                  FROM (SELECT species_code, area_code, CAST(unnest(generate_series(min(week_start), max(week_start), INTERVAL 7 DAY)) AS DATE) AS week_start
+                        FROM mart GROUP BY 1, 2) s
+                  LEFT JOIN (SELECT *, true AS given FROM mart) m USING (species_code, area_code, week_start))
+            WINDOW c AS (PARTITION BY species_code, area_code ORDER BY week_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+      WINDOW w AS (PARTITION BY species_code, area_code ORDER BY week_start))"""))
+def mart_features_dense(spark, sf):
+    """Features on dense weeks: inserted weeks carry ids, names, fleet and sea."""
+    df = feat.feature_mart(layers.mart(spark, sf), dense=True)
+    return df.withColumn("week_sin", F.round("week_sin", 10)).withColumn("week_cos", F.round("week_cos", 10))
+
+
+@register("fn_hash_key", sql(f"""
+SELECT DISTINCT l.species_code, l.area_code, s.species_key, a.area_key
+FROM silver_landings l LEFT JOIN {_SPECIES_KEYS} s USING (species_code) LEFT JOIN {_AREA_KEYS} a USING (area_code)"""))
 def fn_hash_key(spark, sf):
-    """64-bit xxHash keys of the species and area codes (no SQL twin: rows only)."""
+    """64-bit xxHash keys of the species and area codes."""
     from lakemart.functions import hash_key
-    landings = layers.silver_landings(spark, sf)
+    landings = layers.shared(spark, sf).silver_landings
     return landings.select("species_code", "area_code", hash_key("species_code").alias("species_key"),
                            hash_key("area_code").alias("area_key")).distinct()
 
@@ -337,7 +379,7 @@ def fn_hash_key(spark, sf):
 SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM calendar"""))
 def proj_key_first(spark, sf):
     """New key column first, then every calendar column."""
-    cal = layers.silver_calendar(spark, sf)
+    cal = layers.shared(spark, sf).silver_calendar
     return gold.dim_date(cal)
 
 
@@ -353,6 +395,6 @@ def proj_rename(spark, sf):
 @register("proj_drop_helper", sql("SELECT vessel_id, build_year FROM silver_vessels"))
 def proj_drop_helper(spark, sf):
     """The row-number helper of the latest-row rule is dropped from the output."""
-    out = layers.silver_vessels(spark, sf)
+    out = layers.shared(spark, sf).silver_vessels
     assert "_rn" not in out.columns
     return out.select("vessel_id", "build_year")

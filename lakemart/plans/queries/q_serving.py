@@ -144,6 +144,17 @@ def dash_facet_count_area(spark, sf):
     return serving.facet_counts(_hist(spark, sf), "area_name", other)
 
 
+@register("dash_facets", sql("\nUNION ALL ".join(
+    f"SELECT '{name}' AS dataset, '{facet}' AS facet, {facet} AS value, CAST(count_if({other}) AS BIGINT) AS n_rows FROM {table} GROUP BY {facet}"
+    for name, table in (("historikk", "history"), ("prognose", "series"))
+    for facet, other in (("species_name", f"area_name IN ({_AR})"), ("area_name", f"species_name IN ({_SP})")))))
+def dash_facets(spark, sf):
+    """Both filters over both datasets: four facets, one scan a dataset."""
+    picked = {"species_name": SPECIES_PICK, "area_name": AREA_PICK}
+    return (serving.facets(_hist(spark, sf), "historikk", picked)
+            .unionByName(serving.facets(_series(spark, sf), "prognose", picked)))
+
+
 @register("dash_sea_series", sql("""
 SELECT week_start,
        round(CAST(sum(CAST(wave_height_m AS DECIMAL(38,9))) AS DOUBLE) / CAST(count(wave_height_m) AS DOUBLE), 6) AS wave_height_m,

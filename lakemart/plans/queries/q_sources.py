@@ -95,19 +95,31 @@ def dedup_date_area_from_bronze(spark, sf):
     return silver.clean_sea(silver.parse_sea(bronze.jsonl_to_variant(spark, raw.sea_jsonl(spark, sf))))
 
 
-@register("src_file_path")
+@register("src_file_path", sql("""
+SELECT 'year=' || year(landing_date) AS folder, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS rows_of_year
+FROM landings WHERE landing_date IS NOT NULL GROUP BY 1"""))
 def src_file_path(spark, sf):
-    """Lineage: rows per source file of the Bronze landings."""
-    return _bronze_landings(spark, sf).groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows"))
+    """Lineage: rows per source folder of landings written by year, and how many
+    of them are of that year."""
+    files_of_years = bronze.csv_to_variant(spark, raw.landings_csv_by_year(spark, sf), delimiter=";")
+    typed = silver.variant_select(files_of_years, silver.LANDING_FIELDS[:2], keep=["_source_file"])
+    folder = F.regexp_extract("_source_file", r"/(year=\d+)/", 1)
+    of_year = F.concat(F.lit("year="), F.substring("landing_date", 7, 4)) == F.col("folder")
+    return typed.withColumn("folder", folder).groupBy("folder").agg(F.count(F.lit(1)).alias("rows"), F.count_if(of_year).alias("rows_of_year"))
 
 
-@register("src_ingest_ts")
+@register("src_ingest_ts", sql("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(1 AS BIGINT) AS ingest_times, true AS within_the_run FROM landings"))
 def src_ingest_ts(spark, sf):
-    """Load time: one value per ingest run."""
-    return _bronze_landings(spark, sf).select("_ingest_ts").distinct()
+    """Load time: one value per ingest run, not before it nor in the future."""
+    began = F.lit(spark.sql("SELECT current_timestamp()").first()[0])
+    return _bronze_landings(spark, sf).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("_ingest_ts").alias("ingest_times"),
+        F.bool_and(F.col("_ingest_ts").between(began, F.current_timestamp())).alias("within_the_run"))
 
 
-@register("src_variant_schema")
+@register("src_variant_schema", sql("""
+SELECT 'OBJECT<`Art FAO (kode)`: STRING, `Art FAO (navn)`: STRING, `Fangstområde (kode)`: STRING, `Fangstområde (navn)`: STRING, `Fartøy ID`: STRING, Landingsdato: STRING, `Redskap (kode)`: STRING, `Rundvekt (kg)`: STRING, Seddelnummer: STRING>' AS schema
+FROM (SELECT count(*) FROM landings)"""))
 def src_variant_schema(spark, sf):
     return bronze.variant_schema(_bronze_landings(spark, sf))
 
@@ -170,22 +182,55 @@ def fn_to_date_iso(spark, sf):
 
 # -- tables and sinks -----------------------------------------------------------------
 
-def _table_name(spark, stem: str) -> tuple[str, str]:
-    path = scratch_path(spark, stem)
-    return f"{stem}_{path.rsplit('-', 1)[-1]}", path
+_TABLES: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def _table(spark, sf: str, stem: str) -> tuple[str, str]:
+    """Name and folder of a table: the same ones for all calls of an application
+    on a data folder, so a second call replaces what the first has written."""
+    key = (spark.sparkContext.applicationId, sf, stem)
+    if key not in _TABLES:
+        path = scratch_path(spark, stem)
+        _TABLES[key] = f"{stem}_{path.rsplit('-', 1)[-1]}", path
+    return _TABLES[key]
 
 
 @register("sink_table_overwrite", sql("SELECT * FROM silver_vessels"))
 def sink_table_overwrite(spark, sf):
-    """Write a layer table (overwrite) and read it back."""
-    name, path = _table_name(spark, "silver_vessels")
-    sinks.write_table(layers.silver_vessels(spark, sf), name, path=path)
+    """Write a layer table, replace it under its name, and read it back: first
+    the older register year alone, then the latest row of both."""
+    name, path = _table(spark, sf, "silver_vessels")
+    raw_rows = b.vessels_raw(spark, sf)
+    sinks.publish_table(silver.latest_vessels(raw_rows.filter("register_year = 2024").drop("register_year")), name, path)
+    sinks.publish_table(layers.silver_vessels(spark, sf), name, path)
     return sinks.read_table(spark, name)
 
 
+@register("sink_partition_overwrite", sql("""
+SELECT date, area_code, area_name, sea_temp_c, wave_height_m + CASE WHEN year(date) = 1996 THEN 1.0 ELSE 0.0 END AS wave_height_m,
+       current_speed_ms, CAST(year(date) AS INTEGER) AS year FROM silver_sea"""))
+def sink_partition_overwrite(spark, sf):
+    """A table partitioned by year of which one year is replaced by corrected
+    rows; the other years are not written again."""
+    name, path = _table(spark, sf, "sea_by_year")
+    sea = layers.shared(spark, sf).silver_sea.withColumn("year", F.year("date"))
+    sinks.publish_table(sea, name, path, partition_by=["year"])
+    corrected = sea.filter("year = 1996").withColumn("wave_height_m", F.col("wave_height_m") + 1.0)
+    sinks.replace_partitions(corrected, name, ["year"])
+    return sinks.read_table(spark, name)
+
+
+@register("src_table_year", sql("SELECT date, area_code, sea_temp_c FROM silver_sea WHERE year(date) = 1997"))
+def src_table_year(spark, sf):
+    """One year of a partitioned table: the scan lists that partition only."""
+    name, path = _table(spark, sf, "sea_of_years")
+    sinks.publish_table(layers.shared(spark, sf).silver_sea.withColumn("year", F.year("date")), name, path, partition_by=["year"])
+    return sinks.read_table(spark, name).filter("year = 1997").select("date", "area_code", "sea_temp_c")
+
+
 @register("src_table", sql("SELECT * FROM silver_sea"))
 def src_table(spark, sf):
-    name, path = _table_name(spark, "silver_sea")
+    name, path = _table(spark, sf, "silver_sea")
     sinks.write_table(layers.silver_sea(spark, sf), name, path=path)
     return spark.read.table(name)
 
@@ -194,10 +239,12 @@ def src_table(spark, sf):
 def sink_overwrite_schema(spark, sf):
     """Overwriting with a different schema replaces the schema."""
     from lakemart.operators import gold
-    name, path = _table_name(spark, "gold_weekly")
-    lv = gold.landings_with_vessel(layers.silver_landings(spark, sf), layers.silver_vessels(spark, sf))
-    sinks.write_table(gold.week_fleet(lv), name, path=path)
-    sinks.write_table(gold.week_volume(lv), name, path=path)
+    from lakemart.operators.joins import fits_broadcast
+    name, path = _table(spark, sf, "gold_weekly")
+    t = layers.shared(spark, sf)
+    lv = gold.landings_with_vessel(t.silver_landings, t.silver_vessels, fits_broadcast(t.silver_vessels))
+    sinks.publish_table(gold.week_fleet(lv), name, path)
+    sinks.publish_table(gold.week_volume(lv), name, path)
     return sinks.read_table(spark, name)
 
 

@@ -43,6 +43,15 @@ def landings_csv(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def landings_csv_by_year(spark: SparkSession, sf: str) -> str:
+    """The landings file layout, one folder a landing year (rows without a date
+    are in no year's file)."""
+    path = _out(spark, "landings-csv-years")
+    rows = landings_frame(spark, sf).withColumn("year", F.substring("Landingsdato", 7, 4)).filter("year is not null")
+    rows.write.partitionBy("year").option("header", True).option("sep", ";").option("encoding", "UTF-8").csv(path)
+    return path
+
+
 def vessels_csv(spark: SparkSession, sf: str) -> str:
     """VESSELS (both register years); build year written float-like (``1999.0``)."""
     v = b.vessels_raw(spark, sf)
@@ -117,12 +126,21 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> dict[str, st
     return out
 
 
+def hourly_jsonl(spark: SparkSession, sf: str) -> str:
+    """The hourly replies as JSON Lines, one reply a line."""
+    path = _out(spark, "hourly-jsonl")
+    write_jsonl(b.hourly_replies(spark, sf), path)
+    return path
+
+
 def lineitem_years(spark: SparkSession, sf: str) -> dict[int, str]:
-    """lineitem as one ``;`` CSV folder per ship year."""
+    """lineitem as one ``;`` CSV folder per ship year. Each folder holds files of
+    two headers: odd lines have the columns in reverse order."""
     li = b.Tables(spark, sf).lineitem.withColumn("ship_year", F.year("l_shipdate"))
     path = _out(spark, "lineitem-years")
-    (li.write.mode("overwrite").partitionBy("ship_year").option("header", True).option("sep", ";")
-     .csv(path))
+    for part, columns in ((0, li.columns), (1, li.columns[::-1])):
+        (li.filter(F.col("l_linenumber") % 2 == part).select(*columns).write.mode("append").partitionBy("ship_year")
+         .option("header", True).option("sep", ";").csv(path))
     return {int(k): v for k, v in list_partitions(spark, path, "ship_year").items()}
 
 

@@ -8,47 +8,27 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions import is_holiday, is_weekend, iso_week, iso_weekday, season, week_start
+from lakemart.functions import is_holiday, is_public_holiday, is_weekend, iso_week, iso_weekday, season, week_start
 
-# The Norwegian public holidays of the reference calendar
-# (2024-01-01 .. 2025-02-02), in date order.
-REFERENCE_HOLIDAYS = (
-    "2024-01-01", "2024-03-28", "2024-03-29", "2024-04-01", "2024-05-01", "2024-05-09",
-    "2024-05-17", "2024-05-20", "2024-12-25", "2024-12-26", "2025-01-01",
-)
+# The first and last day of the reference calendar.
 REFERENCE_START = "2024-01-01"
 REFERENCE_END = "2025-02-02"
-# Fixed-date holidays (month, day) used to build holiday lists for other years.
-FIXED_DATE_HOLIDAYS = ((1, 1), (5, 1), (5, 17), (12, 25), (12, 26))
-
-MAX_CALENDAR_DAYS = 200_000  # about 550 years; the calendar is broadcast in joins
-
-
-def fixed_holidays(years: Iterable[int]) -> list[str]:
-    return [dt.date(y, m, d).isoformat() for y in years for m, d in FIXED_DATE_HOLIDAYS]
 
 
 def calendar(spark: SparkSession, start: str = REFERENCE_START, end: str = REFERENCE_END,
-             holidays: Iterable[str] = REFERENCE_HOLIDAYS) -> DataFrame:
+             holidays: Iterable[str] | None = None) -> DataFrame:
     """One row per day in [start, end]: date, week start (Monday), year, month,
     ISO week, ISO weekday (1 = Monday), weekend, holiday, season.
 
-    Built from ``spark.range`` so the rows are generated on the executors; the
-    day count is checked because joins broadcast this table.
+    ``holidays``: dates of a list, by default the public holidays by rule. Built
+    from ``spark.range``, so the rows are generated on the executors.
     """
     n_days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
     if n_days <= 0:
         raise ValueError(f"empty calendar range {start}..{end}")
-    if n_days > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {n_days} days exceeds {MAX_CALENDAR_DAYS}")
     days = spark.range(0, n_days).select(
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date"))
-    return describe_days(days, is_holiday("date", holidays))
-
-
-def on_fixed_holiday(date) -> Column:
-    """Whether a date falls on a fixed-date holiday of any year."""
-    return F.date_format(date, "MM-dd").isin([f"{m:02d}-{d:02d}" for m, d in FIXED_DATE_HOLIDAYS])
+    return describe_days(days, is_public_holiday("date") if holidays is None else is_holiday("date", holidays))
 
 
 def calendar_of(dates: DataFrame, column: str = "date") -> DataFrame:
@@ -57,7 +37,7 @@ def calendar_of(dates: DataFrame, column: str = "date") -> DataFrame:
     bounds = dates.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
     sunday = F.date_add(week_start("_hi"), 6)
     days = bounds.filter(F.col("_lo").isNotNull()).select(F.explode(F.sequence(week_start("_lo"), sunday)).alias("date"))
-    return describe_days(days, on_fixed_holiday("date"))
+    return describe_days(days, is_public_holiday("date"))
 
 
 def describe_days(days: DataFrame, holiday: Column) -> DataFrame:

@@ -296,7 +296,7 @@ def test_scratch_goes_with_the_application(spark):
 
 
 def test_kept_models_follow_the_data(spark, tmp_path):
-    from lakemart.plans.queries.q_forecast import _version
+    from lakemart.plans.layers import version as _version
     spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
     before = _version(spark, str(tmp_path))
     assert before == _version(spark, str(tmp_path))

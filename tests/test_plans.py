@@ -40,14 +40,65 @@ def test_small_dimensions_do_not_shuffle_the_fact(spark):
         assert text.count("Exchange hashpartitioning(species_code") + text.count("Exchange hashpartitioning(area_code") == 0, qid
 
 
+def scans(df) -> list[str]:
+    return [ln for ln in plan(df).splitlines() if "FileScan" in ln]
+
+
 def test_layers_are_written_once(spark):
     tables = layers.Layers(spark, SF_SMALL)
     built = tables.build()
     assert list(built) == list(layers.Layers.NAMES)
     for name, df in built.items():
-        scans = [ln for ln in plan(df).splitlines() if "FileScan" in ln]
-        assert len(scans) == 1 and "lakemart-scratch" in scans[0], name
+        assert len(scans(df)) == 1 and "lakemart-scratch" in scans(df)[0], name
         assert getattr(tables, name) is df
+    files = [f for df in built.values() for f in df.inputFiles()]
+    tables.drop()
+    where = spark._jvm.org.apache.hadoop.fs.Path(files[0])
+    assert files and not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    assert layers.shared(spark, SF_SMALL) is layers.shared(spark, SF_SMALL)
+
+
+def test_marts_read_written_layers(spark):
+    """No query behind Silver scans a raw table; the written fact is scanned once."""
+    for qid in ("mart_week", "mart_features", "mart_features_dense", "pred_baseline", "fact_landings", "join_dim_vessel", "join_dim_date", "dash_week_species",
+                "agg_metrics_by_species", "sink_overwrite_schema"):
+        found = scans(QUERIES[qid](spark, SF_SMALL))
+        assert not [s for s in found if "lineitem.parquet" in s or "orders.parquet" in s], qid
+        assert sum("silver-landings" in s or "silver_landings" in s for s in found) <= 1, qid
+
+
+def test_bucketed_layers_join_without_a_shuffle(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = layers.shared(spark, SF_SMALL)
+        assert tables.bucketed
+        for df in (tables.fact_plan(), QUERIES["join_dim_vessel"](spark, SF_SMALL), QUERIES["join_vessel_attrs"](spark, SF_SMALL)):
+            text = plan(df)
+            assert "SortMergeJoin" in text and "Exchange" not in text and "Bucketed: true" in text
+        mart = plan(tables.mart_plan())
+        below = mart[mart.index("SortMergeJoin [vessel_id"):]  # the vessel join and all under it
+        assert "Exchange" not in below.split("silver-sea")[0].split("ReusedExchange")[0].split("week_start")[0]
+        assert "hashpartitioning(vessel_id" not in mart
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_hot_vessel_leaves_the_tables_plain(spark, monkeypatch):
+    monkeypatch.setattr(layers, "hottest_share", lambda df, column: 1 / 3)
+    tables = layers.Layers(spark, SF_SMALL, buckets=64)
+    assert not tables.bucketed and "Bucketed: true" not in plan(tables.silver_vessels)
+    tables.drop()
+
+
+def test_partitioned_tables_prune(spark):
+    found = scans(QUERIES["src_table_year"](spark, SF_SMALL))
+    assert len(found) == 1 and "year" in found[0].split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_facets_scan_a_dataset_once(spark):
+    found = scans(QUERIES["dash_facets"](spark, SF_SMALL))
+    assert len(found) == 2
     # joined to written dimensions, the written Silver is scanned and nothing is deduplicated again
     assert "Window" not in plan(QUERIES["join_dim_species"](spark, SF_SMALL))
 

@@ -200,20 +200,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, features: int = 256, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "quality", label_docs: DataFrame | None = None) -> DataFrame:
+             label_col: str = "quality", label_id: Column | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
-    Learns from all rows of ``labels`` that are not held out, looked up in
-    ``label_docs`` (``docs`` if not given); a quarter of them (crc32 modulo 4
-    is 0) calibrates, the others fit the ridge.
+    Learns from all rows of ``labels`` that are not held out; a quarter of them
+    (crc32 modulo 4 is 0) calibrates, the others fit the ridge. ``label_id``: what
+    of ``doc_id`` the labels name, where that is a key with further parts.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     stats = scratch.table(document_statistics(docs, id_col, text_col), "quality-x")
-    base = stats if label_docs is None else document_statistics(label_docs, id_col, text_col)
-    known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("y")).filter("doc_id is not null and y is not null")
+    named = F.col("doc_id") if label_id is None else label_id
+    known = (labels.select(F.col("doc_id" if label_id is not None else id_col).alias("doc_id"), F.col(label_col).cast("double").alias("y")).filter("doc_id is not null and y is not null")
              .groupBy("doc_id").agg(F.avg("y").alias("y")).filter(~held_out(F.col("doc_id"))))
-    train = base.join(known, "doc_id").select("x", "y", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4).cast("int").alias("fold"))
+    train = stats.select(named.alias("doc_id"), "x").join(known, "doc_id").select("x", "y", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4).cast("int").alias("fold"))
     train = scratch.table(train, "quality-train")
     model = fit(train, features)
     scratch.drop("quality-train")
@@ -226,4 +226,4 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, feature
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([model.score(x[i:i + 4096]) for i in range(0, len(x), 4096)]))], ["doc_id", "score"])
 
     scored = stats.select("doc_id", "x").mapInArrow(score, f"doc_id {kind}, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(named).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

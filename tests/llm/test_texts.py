@@ -342,6 +342,18 @@ def test_pipeline(spark, tmp_path):
         else:
             assert set(after.doc_id) == set(before.doc_id)
             assert after.groupby("sequence_id").length.sum().max() <= 4096
+    whole = corpus_pipeline.run(spark, SF_SMALL).toPandas()  # the same stages, one after another
+    places = lambda d: sorted(d[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False, name=None))
+    assert places(whole) == places(after)
+
+
+def test_pipeline_columns(spark, tmp_path):
+    """Stages keep columns of any name, and need none but id and text."""
+    spark.createDataFrame([(1, "a b c", 5), (2, "a b c", 6), (3, None, 7)], "doc_id long, text string, _row int").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a b c", 5), (3, None, 7)] + [(2, "a b c", 6)] * (name == "pii"), key=str), name
 
 
 def test_pipeline_rows(spark, frame):

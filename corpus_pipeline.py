@@ -3,13 +3,15 @@
 Each stage takes (spark, docs, sf_dir) and works on all documents that the one
 before kept; all but the last return the columns of ``documents``. ``run``
 writes each stage to the shared folder and reads it back. Verdicts are given to
-rows, not to ids: the first three stages write their rows with a key, so that
+rows, not to ids: a row's key is its id and its place (file and row number), so
 rows that repeat an id, or have none, stay or go each by its own text. Of equal
-texts of one length the smallest id stays, a null id last.
+texts of one length the smallest id stays, a null id last. Texts are read where
+they lie and are not written again for the keys.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,41 +19,51 @@ from lakemart.llm import exact_dedup, minhash, packing, pii, quality
 from lakemart.llm.common import Scratch, table, vocabulary
 
 
-def _keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a key of each row in the order of the ids. It is
-    written, as the numbers of rows that are computed anew may differ."""
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
-    return Scratch(spark).table(docs.withColumn("_row", key), "pipeline-rows")
+def _keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, in the order of the ids, and its column's
+    name, which no column of ``docs`` has. The place of a row in its file is the
+    same at each reading; a table that is not read from files is written first,
+    as the order of rows that are computed anew may differ."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    try:
+        placed = docs.select("*", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                                           F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(key))
+    except AnalysisException:
+        return _keyed(spark, Scratch(spark).table(docs, "pipeline-rows"))
+    return placed, key
 
 
-def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+def _without(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
     """``keyed`` less the rows whose keys ``dropped`` has as doc_id."""
-    rows = dropped.select(F.col("doc_id.row").alias("_dropped"))
-    return keyed.join(rows, keyed["_row.row"] == rows["_dropped"], "left_anti").drop("_row")
+    rows = dropped.select(F.col("doc_id.file").alias("_file"), F.col("doc_id.row").alias("_place"))
+    return keyed.join(rows, (keyed[key]["file"] == rows["_file"]) & (keyed[key]["row"] == rows["_place"]), "left_anti").drop(key)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    keyed = _keyed(spark, docs)
-    scored = quality.classify(keyed.withColumn("doc_id", F.col("_row")), table(spark, sf_dir, "labels"), label_docs=keyed)
-    return _without(keyed, scored.filter("predicted = 0"))
+    keyed, key = _keyed(spark, docs)
+    scored = quality.classify(keyed.withColumn("doc_id", F.col(key)), table(spark, sf_dir, "labels"), label_id=F.col("doc_id.id"))
+    return _without(keyed, key, scored.filter("predicted = 0"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    keyed = _keyed(spark, docs)
-    return _without(keyed, exact_dedup.progressive_dedup(keyed, id_col="_row").filter("not kept"))
+    keyed, key = _keyed(spark, docs)
+    return _without(keyed, key, exact_dedup.progressive_dedup(keyed, id_col=key).filter("not kept"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8) stays."""
-    keyed = _keyed(spark, docs)
-    return _without(keyed, minhash.near_duplicates(keyed, words=5, percent=80, id_col="_row").filter("not kept"))
+    keyed, key = _keyed(spark, docs)
+    return _without(keyed, key, minhash.near_duplicates(keyed, words=5, percent=80, id_col=key).filter("not kept"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to their kinds; n_chars follows the text."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    redacted = pii.redact(docs)
+    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else redacted
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +78,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    docs, scratch, before = table(spark, sf_dir, "documents"), Scratch(spark), []
     for name, stage in STAGES[:-1]:
         docs = scratch.table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.drop(*before)
+        before = [f"pipeline-{name}"]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -49,8 +49,18 @@ def wmape(pred: DataFrame, places: int = 6) -> DataFrame:
 
 
 def by_species(pred: DataFrame, key: str = "species_name", places: int = 6) -> DataFrame:
-    """Per species: n, total actual and predicted, deviation (kg and %), MAE,
-    WMAPE; worst WMAPE first."""
+    """``by_group`` of the species; worst WMAPE first."""
+    return worst_first(by_group(pred, key, places), key)
+
+
+def worst_first(groups: DataFrame, *keys: str, metric: str = "wmape") -> DataFrame:
+    """Groups by a metric, largest first, unknown last, equal ones by their keys."""
+    return groups.orderBy(F.desc_nulls_last(metric), *keys)
+
+
+def by_group(pred: DataFrame, key: str, places: int = 6) -> DataFrame:
+    """Per value of ``key``: n, total actual and predicted, deviation (kg and %),
+    MAE, WMAPE."""
     total_actual = decimal_sum(ACTUAL)
     total_pred = decimal_sum(PREDICTED)
     out = pred.groupBy(key).agg(
@@ -62,7 +72,7 @@ def by_species(pred: DataFrame, key: str = "species_name", places: int = 6) -> D
     out = out.withColumn("deviation_kg", F.round(F.col("total_predicted_kg") - F.col("total_actual_kg"), places))
     out = out.withColumn("deviation_pct", F.round(_ratio(F.col("deviation_kg"), F.col("total_actual_kg")) * F.lit(100.0), places))
     return out.select(key, "n_obs", "total_actual_kg", "total_predicted_kg", "deviation_kg",
-                      "deviation_pct", "mae", "wmape").orderBy(F.desc_nulls_last("wmape"), key)
+                      "deviation_pct", "mae", "wmape")
 
 
 def by_target_week(pred: DataFrame) -> DataFrame:

@@ -98,9 +98,13 @@ def kg_by_species(hist: DataFrame) -> DataFrame:
     return hist.groupBy("species_name").agg(F.sum("landed_kg").alias("landed_kg"))
 
 
+def kg_ranked(hist: DataFrame, *keys: str) -> DataFrame:
+    """Landed kg by any columns, largest first, equal ones by the columns."""
+    return hist.groupBy(*keys).agg(F.sum("landed_kg").alias("landed_kg")).orderBy(F.desc("landed_kg"), *keys)
+
+
 def kg_by_area(hist: DataFrame) -> DataFrame:
-    return (hist.groupBy("area_name").agg(F.sum("landed_kg").alias("landed_kg"))
-            .orderBy(F.desc("landed_kg"), "area_name"))
+    return kg_ranked(hist, "area_name")
 
 
 def kg_by_week_series(series: DataFrame) -> DataFrame:

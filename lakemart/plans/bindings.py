@@ -11,9 +11,9 @@ The driver tables stand in for the four raw sources:
 * CALENDAR  generated for the years the data covers.
 * HOURLY    events packed into bounded 24-reading replies of parallel arrays.
 
-nation (25 rows) and region (5 rows) have a fixed size in this schema, so they
-are broadcast explicitly. part and supplier grow with the data and are left to
-the planner: AQE turns a join into a broadcast only after measuring the side.
+Every dimension, nation and region included, is broadcast only behind a check
+of its size; beyond it the join is a shuffle join, which AQE may still turn into
+a broadcast after it has measured the side.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ class Tables:
 
 
 def _nation_region(t: Tables) -> DataFrame:
-    return (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    return (t.nation.join(broadcast_if_fits(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
             .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
 
 
@@ -67,7 +67,7 @@ def landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     suppliers = t.supplier.select("s_suppkey", "s_nationkey")
     supplier_area = (suppliers
-                     .join(F.broadcast(_nation_region(t)), F.col("s_nationkey") == F.col("n_nationkey"))
+                     .join(broadcast_if_fits(_nation_region(t), bound=t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
                      .select("s_suppkey", "n_regionkey", "r_name"))
     parts = t.part.select("p_partkey", "p_type")
     li = t.lineitem.select(
@@ -93,7 +93,7 @@ def landings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vessel_rows(t: Tables, build_year: Column, power: Column, register_year: int) -> DataFrame:
     length = (F.lit(10) + F.col("s_suppkey") % 30).cast("double")
-    return (t.supplier.join(F.broadcast(_nation_region(t)), F.col("s_nationkey") == F.col("n_nationkey"))
+    return (t.supplier.join(broadcast_if_fits(_nation_region(t), bound=t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("s_suppkey").cast("string").alias("vessel_id"),
                 F.concat(F.lit("R-"), F.col("s_suppkey").cast("string")).alias("registration"),
@@ -138,7 +138,7 @@ def sea_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     customers = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
     cust_area = (customers
-                 .join(F.broadcast(_nation_region(t)), F.col("c_nationkey") == F.col("n_nationkey"))
+                 .join(broadcast_if_fits(_nation_region(t), bound=t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
                  .select("c_custkey", "c_acctbal", "n_regionkey", "r_name"))
     orders = t.orders.select(F.col("o_orderdate").cast("date").alias("date"), "o_custkey", "o_totalprice")
     # date is part of Silver's (date, area) dedup key: the window reuses this partitioning.

@@ -376,11 +376,14 @@ def fn_hash_key(spark, sf):
 
 
 @register("proj_key_first", sql("""
-SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM calendar"""))
+SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, * FROM silver_sea"""))
 def proj_key_first(spark, sf):
-    """New key column first, then every calendar column."""
-    cal = layers.shared(spark, sf).silver_calendar
-    return gold.dim_date(cal)
+    """A key column in front of all columns of a table, whatever they are."""
+    from lakemart.functions import date_key
+    sea = layers.shared(spark, sf).silver_sea
+    out = gold.key_first(sea, "date_key", date_key("date"))
+    assert out.columns == ["date_key", *sea.columns]
+    return out
 
 
 @register("proj_rename", sql("""

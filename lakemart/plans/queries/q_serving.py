@@ -90,9 +90,10 @@ def dash_area(spark, sf):
 
 
 @register("sort_agg_desc", sql("""
-SELECT area_name, sum(landed_kg) AS landed_kg FROM history GROUP BY 1 ORDER BY 2 DESC, 1"""))
+SELECT species_name, area_name, sum(landed_kg) AS landed_kg FROM history GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2"""))
 def sort_agg_desc(spark, sf):
-    return serving.kg_by_area(_hist(spark, sf))
+    """Species and areas by landed kg, largest first."""
+    return serving.kg_ranked(_hist(spark, sf), "species_name", "area_name")
 
 
 @register("dash_week_series", sql(f"""
@@ -193,16 +194,17 @@ def ml_evaluate(spark, sf):
     return metrics.overall(layers.pred_baseline(spark, sf))
 
 
-_BY_SPECIES = f"""
-SELECT species_name, n_obs, total_actual_kg, total_predicted_kg,
+_BY_GROUP = """
+SELECT {key}, n_obs, total_actual_kg, total_predicted_kg,
        round(total_predicted_kg - total_actual_kg, 6) AS deviation_kg,
        round((total_predicted_kg - total_actual_kg) / nullif(total_actual_kg, 0.0) * 100.0, 6) AS deviation_pct,
        mae, wmape
-FROM (SELECT species_name, CAST(count(*) AS BIGINT) AS n_obs,
-             {_total('target_kg')} AS total_actual_kg, {_total('predicted_kg')} AS total_predicted_kg,
-             {_MAE} AS mae, {_WMAPE} AS wmape
+FROM (SELECT {key}, CAST(count(*) AS BIGINT) AS n_obs,
+             """ + f"""{_total('target_kg')} AS total_actual_kg, {_total('predicted_kg')} AS total_predicted_kg,
+             {_MAE} AS mae, {_WMAPE} AS wmape""" + """
       FROM pred GROUP BY 1)
-ORDER BY wmape DESC NULLS LAST, species_name"""
+ORDER BY wmape DESC NULLS LAST, {key}"""
+_BY_SPECIES = _BY_GROUP.format(key="species_name")
 
 
 @register("agg_metrics_by_species", sql(_BY_SPECIES))
@@ -210,9 +212,10 @@ def agg_metrics_by_species(spark, sf):
     return metrics.by_species(layers.pred_baseline(spark, sf))
 
 
-@register("sort_metrics", sql(_BY_SPECIES))
+@register("sort_metrics", sql(_BY_GROUP.format(key="area_name")))
 def sort_metrics(spark, sf):
-    return metrics.by_species(layers.pred_baseline(spark, sf))
+    """The metrics of each area, worst WMAPE first."""
+    return metrics.worst_first(metrics.by_group(layers.pred_baseline(spark, sf), "area_name"), "area_name")
 
 
 @register("agg_pred_by_week", sql(f"""

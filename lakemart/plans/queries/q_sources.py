@@ -28,9 +28,16 @@ def src_csv_semicolon(spark, sf):
     return silver.parse_landings(_bronze_landings(spark, sf)).drop("_ingest_ts")
 
 
-@register("proj_variant_typed", sql("SELECT * FROM landings"))
+@register("proj_variant_typed", sql("""
+SELECT date, CAST(area_code AS INTEGER) AS area_number, wave_height_m, CAST(wave_height_m AS DECIMAL(14,2)) AS wave_cents,
+       CAST(NULL AS INTEGER) AS name_as_number, CAST(NULL AS VARCHAR) AS no_such_field FROM sea_raw"""))
 def proj_variant_typed(spark, sf):
-    return silver.parse_landings(_bronze_landings(spark, sf)).drop("_ingest_ts")
+    """One projection gives a payload's fields the types asked for: date, integer
+    from text, double, decimal; a value that does not cast and a field that is
+    not there are NULL."""
+    fields = [("dato", "date", "date"), ("fangstomrade_kode", "int", "area_number"), ("bolgehoyde_m", "double", "wave_height_m"),
+              ("bolgehoyde_m", "decimal(14,2)", "wave_cents"), ("fangstomrade_navn", "int", "name_as_number"), ("mangler", "string", "no_such_field")]
+    return silver.variant_select(bronze.jsonl_to_variant(spark, raw.sea_jsonl(spark, sf)), fields)
 
 
 @register("silver_from_bronze", sql("SELECT * FROM silver_landings"))

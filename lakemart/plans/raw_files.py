@@ -152,11 +152,11 @@ def catch_lines(spark: SparkSession, sf: str) -> DataFrame:
     decimal comma, build year float-like, blank vessel ids.
     """
     t = b.Tables(spark, sf)
-    nr = (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    nr = (t.nation.join(broadcast_if_fits(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
           .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
     suppliers = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     sup = broadcast_if_fits(
-        suppliers.join(F.broadcast(nr), F.col("s_nationkey") == F.col("n_nationkey"))
+        suppliers.join(broadcast_if_fits(nr, bound=t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "n_name", "n_regionkey", "r_name"),
         bound=suppliers)
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",

@@ -45,7 +45,7 @@ def main() -> None:
     print("| Query | Shuffles | Broadcasts | Partial window limits | Scans (table/columns/pushed) |")
     print("| --- | --- | --- | --- | --- |")
     for q in HEADLINE:
-        if q == "ml_fit":
+        if q not in QUERIES or q == "ml_fit":
             continue
         plan = QUERIES[q](spark, sf)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)

@@ -20,7 +20,8 @@ sets. A pair at similarity 0.8 shares no table key with a chance of
 
 Defined results: a text without words has an empty set, links with nothing and
 is its own component; a null id links nothing and is its own component (null);
-rows that repeat an id stand for one document in the graph, each row by its text.
+rows that repeat an id are told apart by their texts: each row is linked, named and
+judged by its own text's class, and does not join what its namesakes are near.
 """
 
 from __future__ import annotations

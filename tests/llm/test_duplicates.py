@@ -128,3 +128,11 @@ def test_near_vectors(spark):
         if r.vec_id is not None:
             assert (r.n_links, r.component_id, r.kept) == (n.get(r.vec_id, 0), expected[r.vec_id], expected[r.vec_id] == r.vec_id), r
     assert embeddings.near_vectors(df.limit(0)).collect() == []
+
+
+def test_rows_that_repeat_an_id(spark, frame):
+    """Each row of an id goes by its own text; two texts of one id join nothing."""
+    first, second = (" ".join(f"{k}{i}" for i in range(80)) for k in "ab")
+    rows = [(5, first), (5, second), (3, first + " more"), (9, second + " more")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(frame(rows), words=4).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (9, 5, False)]

@@ -369,3 +369,21 @@ def test_pipeline_rows(spark, frame):
     good, bad = (docs[docs.doc_id.isin(after) == x].iloc[0].text for x in (True, False))
     rows = list(docs.itertuples(index=False, name=None)) + [(-1, good), (-1, bad), (None, good), (None, bad)]
     assert [r for r in kept(corpus_pipeline.quality_stage, rows) if r[0] in (-1, None)] == [(-1, good), (None, good)]
+
+
+def test_ridge_equals_a_plain_solve(spark):
+    """Summed normal equations against one solve over the same rows and features."""
+    from lakemart.llm import quality
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(400, len(quality.STATISTICS))) * rnd.uniform(0.5, 3, len(quality.STATISTICS))
+    y = (np.sin(x[:, 0]) + x[:, 1] > 0).astype(float)
+    fold = rnd.integers(0, 4, 400)
+    train = spark.createDataFrame([(r.tolist(), float(v), int(f)) for r, v, f in zip(x, y, fold)], "x array<double>, y double, fold int").repartition(23)
+    model = quality.fit(train, features=40)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.std, x.std(axis=0))
+    z, t = model.map(x[fold != 0]), y[fold != 0]
+    weights = np.linalg.solve(z.T @ z / len(z) + 1e-3 * np.eye(z.shape[1]), z.T @ t / len(z))
+    assert np.allclose(model.weights, weights, atol=1e-8)
+    scores = model.score(x[fold == 0])
+    order = np.argsort(model.raw(x[fold == 0]))
+    assert (np.diff(scores[order]) >= -1e-12).all()

@@ -3,15 +3,21 @@
 A text and a template are word sequences. Words that occur once in both are
 anchors; the longest increasing run of anchors is kept, and the gaps between
 them are aligned in the same way until no anchor is left (equal words at a
-gap's ends are aligned first). This settles the places that hold a template in
-full. Repeated words give no anchors, so all other places are aligned exactly.
-
-A template stands at a place of at most WIDTH times its words when the longest
-common subsequence of place and template reaches the threshold; coverage is its
-share of the template's words. Such a place may lack some of the template's
-words, so it is looked for around the occurrences of one word position more
-than may be lacking (those whose words the text holds least often): every place
-holds one of these.
+gap's ends are aligned first). Coverage is the aligned share of the template's
+words, from the first to the last of which a place reaches.
+
+Places are proposed by this alignment, window by window, around the occurrences
+of one word position more than a place may lack (those whose words the text
+holds least often): every place holds one of these. A proposed place is taken
+when a count of common words in order (a longest common subsequence in bit
+sets) shows that no place that overlaps it is stronger: none that aligns more
+words, none as good and shorter or earlier. Repeated words give no anchors, so a
+proposal may fall short; what the places taken leave over is counted alike, and
+only where it still holds a place is it aligned exactly (``shortest``).
+``Scanner.settled`` counts the places of either kind.
+
+A template stands at a place of at most ``width`` times its words: this is what
+a place is, and no place is left out.
 
 All places of all templates are reported as ``findings``, in the order of the
 text; of places that overlap only the strongest stays. The best of them is
@@ -36,7 +42,7 @@ from pyspark.sql import DataFrame
 
 from .common import slices, texts_of
 
-# Opening notices of public licenses.
+# Opening notices of public licenses, and whole texts of the short ones.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -48,8 +54,22 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MIT-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "BSD-2-Clause-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "ISC-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "Zlib-text": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.""",
 }
-#: A place holds at most so many times the words of its template.
+#: A place holds at most so many times the words of its template (the default).
 WIDTH = 4
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
@@ -108,7 +128,27 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def shortest(text: list, low: int, high: int, template: list, need: int) -> list[tuple[int, int, int]]:
+def bits_of(template: list) -> dict[str, int]:
+    """Of each word, the set of its places in the template, as the bits of a number."""
+    out: dict[str, int] = {}
+    for j, w in enumerate(template):
+        out[w] = out.get(w, 0) | 1 << j
+    return out
+
+
+def common(text: list, low: int, high: int, bits: dict[str, int], n: int) -> int:
+    """Words of the longest common subsequence of text[low:high] and a template of
+    n words: a bit is cleared where the length grows by one along the template."""
+    full = (1 << n) - 1
+    row = full
+    for i in range(low, high):
+        if places := bits.get(text[i]):
+            hit = row & places
+            row = (row + hit | row - hit) & full
+    return n - row.bit_count()
+
+
+def shortest(text: list, low: int, high: int, template: list, need: int, width: int = WIDTH) -> list[tuple[int, int, int]]:
     """(aligned words, first, last) of the shortest places in text[low:high] that
     align ``need`` words of the template or more: of each end and number of
     words, the place that starts last. ``latest[j, c]`` is the last start of a
@@ -130,7 +170,7 @@ def shortest(text: list, low: int, high: int, template: list, need: int) -> list
         if now != before:
             beyond = -1
             for c in range(n - need, -1, -1):
-                if now[c] > max(before[c], beyond) and i - now[c] < WIDTH * n:
+                if now[c] > max(before[c], beyond) and i - now[c] < width * n:
                     out.append((need + c, now[c], i))
                 beyond = max(beyond, now[c])
             before = now
@@ -151,8 +191,8 @@ def apart(places: list[tuple]) -> list[tuple]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], threshold: float):
-        self.templates = []
+    def __init__(self, templates: dict[str, str], threshold: float, width: int = WIDTH):
+        self.templates, self.width = [], width
         for name, template in sorted(((name, words(text)) for name, text in templates.items()), key=lambda t: (-len(t[1]), t[0])):
             n = len(template)
             need = next((c for c in range(1, n + 1) if c / n >= threshold), None)
@@ -160,21 +200,29 @@ class Scanner:
                 self.templates.append((name, template, need, Counter(template)))
         self.ranks = {name: rank for rank, (name, *_) in enumerate(self.templates)}
         self.known = frozenset(w for _, template, *_ in self.templates for w in template)
+        self.settled: Counter = Counter()
+
+    def strongest(self, found: list, place: tuple[int, int, int], low: int, high: int, bits: dict[str, int], n: int) -> bool:
+        """No place in found[low:high] that overlaps this one comes before it."""
+        aligned, first, last = place
+        own, reach = last - first + 1, self.width * n
+        if own > reach or common(found, max(low, first - own + 1), last, bits, n) >= aligned or common(found, first + 1, min(high, last + own - 1), bits, n) >= aligned:
+            return False
+        return aligned == n or common(found, max(low, first - reach + 1), min(high, last + reach), bits, n) == aligned
 
-    @staticmethod
-    def places(found: list, at: dict[str, list[int]], template: list, need: int, counts: Counter) -> list[tuple[int, int, int]]:
+    def places(self, found: list, at: dict[str, list[int]], template: list, need: int, counts: Counter) -> list[tuple[int, int, int]]:
         """(aligned words, first, last) of the template's places, none overlapping a stronger one."""
-        n = len(template)
+        n, width = len(template), self.width
 
         def held(low, high):
             return sum(min(c, bisect_left(at[w], high) - bisect_left(at[w], low)) for w, c in counts.items() if w in at)
 
         if sum(c for w, c in counts.items() if w in at) < need:
             return []
-        by_count = sorted(range(n), key=lambda j: len(at.get(template[j], ())))
+        seeds = sorted(range(n), key=lambda j: len(at.get(template[j], ())))[:n - need + 1]
         spans: list[list[int]] = []
-        for i in sorted({i for j in by_count[:n - need + 1] for i in at.get(template[j], ())}):
-            low, high = max(0, i - WIDTH * n + 1), min(len(found), i + WIDTH * n)
+        for i in sorted({i for j in seeds for i in at.get(template[j], ())}):
+            low, high = max(0, i - width * n + 1), min(len(found), i + width * n)
             if held(low, high) < need:
                 continue
             if spans and low <= spans[-1][1]:
@@ -183,22 +231,33 @@ class Scanner:
                 spans.append([low, high])
         if not spans:
             return []
-        whole, end = [], 0
-        for i in at.get(template[by_count[0]], ()):
-            first = i - by_count[0]
-            if first >= end and found[first] == template[0] and len(align(found[first:first + n], template)) == n:
-                end = first + n
-                whole.append((n, first, end - 1))
-        out, k = list(whole), 0
+        bits = bits_of(template)
+        starts = sorted({i - j for j in seeds for i in at.get(template[j], ())})
+        taken, out = [], []
+
+        def exact(low, high):
+            if held(low, high) >= need and common(found, low, high, bits, n) >= need:
+                out.extend(shortest(found, low, high, template, need, width))
+
         for low, high in spans:
-            while k < len(whole) and whole[k][1] < high:
-                _, first, last = whole[k]
-                if held(low, first) >= need:
-                    out += shortest(found, low, first, template, need)
-                low, k = last + 1, k + 1
-            if held(low, high) >= need:
-                out += shortest(found, low, high, template, need)
-        return apart(sorted(out, key=lambda p: (-p[0], p[2] - p[1], p[1])))
+            for start in starts[bisect_left(starts, low - n):bisect_left(starts, high)]:
+                for slack in (0, n // 4):  # substituted words keep a window's length, others do not
+                    a, b = max(low, start - slack), min(high, start + n + slack)
+                    if b - a < need or held(a, b) < need:
+                        continue
+                    pairs = align(found[a:b], template)
+                    if len(pairs) < need:
+                        continue
+                    place = (len(pairs), a + pairs[0][0], a + pairs[-1][0])
+                    if self.strongest(found, place, low, high, bits, n):
+                        taken.append(place)
+                        exact(low, place[1])
+                        low = place[2] + 1
+                        break
+            exact(low, high)
+        kept = apart(sorted(taken + out, key=lambda p: (-p[0], p[2] - p[1], p[1])))
+        self.settled.update(patience=len(taken), exact=len(kept) - len(taken))
+        return kept
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(name, coverage, first and last aligned word) of every place at the
@@ -222,10 +281,10 @@ class Scanner:
 FINDING = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, license, coverage, first_word, last_word, findings) of each whole
     text: the best place, and all places as an array of its four columns."""
-    scanner = Scanner(templates or TEMPLATES, threshold)
+    scanner = Scanner(templates or TEMPLATES, threshold, width)
 
     def run(batches):
         for ids, texts in slices(batches):

@@ -13,7 +13,8 @@ minhashes (one byte each; two sets at the threshold miss it with a chance of
 about one in a million). The links found give components. Classes in keys that
 still hold several components go through an exact prefix filter: shingles are
 ordered by how few of these classes hold them, two sets that reach the
-threshold share one among their rarest fifth, and its places bound the overlap.
+threshold share one among the rarest fifth of the larger and the rarest ninth of
+the smaller (at 0.8), and its places bound the overlap.
 Pairs inside a component are never formed. Every link is confirmed on the full
 sets. A pair at similarity 0.8 shares no table key with a chance of
 2 * (1 - 0.8 ** 2) ** 10 = 0.00007, and less above.
@@ -27,6 +28,7 @@ judged by its own text's class, and does not join what its namesakes are near.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -114,24 +116,47 @@ def agreement(left: str, right: str):
     return HASHES - differ
 
 
-def across_parts(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs (x, y) of different parts that may reach the threshold, from
-    ``sets`` (cid, part, set): none that reaches it is left out."""
+def meetings(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of ``sets`` (cid, part, set) of different parts that meet in a rare
+    term (term, size and cid, part, n, at of both sides, x the later one in (n,
+    cid)): each pair that reaches the threshold meets in its first common term.
+
+    The larger set x looks up its terms until fewer than the threshold's share
+    of them is left; the smaller one y is found under fewer: as x is no smaller, both
+    share 2t / (1 + t) of y's terms. Sets with a common core that does not
+    reach the threshold have more terms of their own than that, which come
+    first, so they never meet, however many they are. Sizes are cut
+    into classes one threshold apart, so that x looks into two or three of them.
+    """
     terms = sets.select("cid", "part", F.size("set").alias("n"), F.explode("set").alias("term"))
     held = terms.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
     rarest = Window.partitionBy("cid").orderBy("holders", "term")
     prefix = (terms.join(held.filter("holders > 1"), "term", "left").withColumn("holders", F.coalesce("holders", F.lit(1)))
               .withColumn("at", F.row_number().over(rarest) - 1).filter((F.lit(100) * (F.col("n") - F.col("at")) >= percent * F.col("n")) & (F.col("holders") > 1)))
     prefix = scratch.table(prefix.select("cid", "part", "n", "term", "at"), "minhash-prefix")
-    # Of the parts that share a term, all but the largest look for partners.
+    # Of the parts that share a term, two members of the largest never meet.
     largest = (prefix.groupBy("term", "part").agg(F.count(F.lit(1)).alias("m")).groupBy("term")
                .agg(F.max(F.struct("m", "part"))["part"].alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("term", "most"))
     largest = scratch.table(largest, "minhash-largest")
     some = scratch.table(prefix.join(largest, "term"), "minhash-terms")
-    named = lambda p: some.select("term", "most", *[F.col(c).alias(f"{p}_{c}") for c in ("cid", "part", "n", "at")])
+    size = F.log(F.col("n")) / math.log(100 / percent) if percent < 100 else F.col("n").cast("double")
+    down = 1 if percent < 100 else 0
+    # A little below the class of the least size: logarithms are not exact.
+    classes = F.sequence(F.floor(size - down - 1e-6), F.floor(size))
+    named = lambda p: [F.col(c).alias(f"{p}_{c}") for c in ("cid", "part", "n", "at")]
+    probe = some.select("term", F.explode(classes).alias("size"), *named("x"), (F.col("part") == F.col("most")).alias("x_most"))
+    found = some.filter((100 + percent) * (F.col("n") - F.col("at")) >= 2 * percent * F.col("n"))
+    found = found.select("term", F.floor(size).alias("size"), *named("y"), (F.col("part") == F.col("most")).alias("y_most"))
+    met = probe.filter("not x_most").join(found, ["term", "size"]).unionByName(probe.filter("x_most").join(found.filter("not y_most"), ["term", "size"]))
+    return met.filter((F.col("x_part") != F.col("y_part")) & (F.struct("x_n", "x_cid") > F.struct("y_n", "y_cid"))).drop("x_most", "y_most")
+
+
+def across_parts(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (x, y) of different parts that may reach the threshold, from
+    ``sets`` (cid, part, set): none that reaches it is left out."""
     overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
     enough = (100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))
-    met = named("x").filter("x_part != most").drop("most").join(named("y").drop("most"), "term").filter((F.col("x_part") != F.col("y_part")) & enough)
+    met = meetings(sets, percent, scratch).filter(enough)
     return met.select(F.least("x_cid", "y_cid").alias("x"), F.greatest("x_cid", "y_cid").alias("y")).distinct()
 
 

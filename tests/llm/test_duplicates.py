@@ -93,6 +93,25 @@ def test_near_duplicates(spark, frame):
     assert sorted(r.component_id for r in minhash.near_duplicates(frame([(1, None), (2, "")])).collect()) == [1, 2]
 
 
+def test_families_below_the_threshold_never_meet(spark):
+    """2000 sets with 87 of 99 terms in common (similarity 0.78), and some with a few more."""
+    rnd = np.random.default_rng(9)
+    core = list(range(87))
+    family = [(i, i, core + [1000 + 12 * i + k for k in range(12)]) for i in range(2000)]
+    kind = "cid long, part long, set array<long>"
+    scratch = Scratch(spark)
+    assert minhash.meetings(spark.createDataFrame(family, kind).repartition(8), 80, scratch).count() == 0
+    mixed = [(i, i % 37 if i % 3 else 99, sorted(set(rnd.integers(0, 40, rnd.integers(1, 45)).tolist()))) for i in range(300)]
+    mixed += [(400 + i, 400 + i, list(range(100, 100 + 8 + i % 5))) for i in range(20)]
+    for percent in (60, 80):
+        got = {(r.x, r.y) for r in minhash.across_parts(spark.createDataFrame(mixed, kind).repartition(4), percent, scratch).collect()}
+        for i, (a, p, x) in enumerate(mixed):
+            for b, q, y in mixed[i + 1:]:
+                both = len(set(x) & set(y))
+                if p != q and 100 * both >= percent * (len(x) + len(y) - both):
+                    assert (a, b) in got, (percent, a, b)
+
+
 def test_tensored_keys_find_pairs():
     """Over random pairs at similarity just above 0.8, some table key is shared."""
     rnd, missed = np.random.default_rng(3), 0

@@ -92,15 +92,16 @@ class WordTokens:
 
 
 def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-                 with_ids: bool = False) -> DataFrame:
+                 with_ids: bool = False, cache_chunks: int = 1_000_000) -> DataFrame:
     """Pieces of at most ``capacity`` ids of each document's ids and the end id:
     doc_id, piece, start, length, ids_crc32 and, if asked for, ids. Only
-    documents longer than that are cut."""
+    documents longer than that are cut. A worker remembers the ids of about
+    ``cache_chunks`` runs between white space: memory against time, never results."""
     shared = ship_file(docs.sparkSession, vocabulary_path)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        tokens = built(shared, "words", WordTokens)
+        tokens = built(shared, "words", lambda text: WordTokens(text, cache_chunks))
         for doc_ids, texts in slices(batches):
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, raw in enumerate(tokens.encode(texts)):
@@ -220,6 +221,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, rows_per_part: int = 20_000, p
     return packed.select(*names, "sequence_id", "offset")
 
 
-def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, end_id: int = 1, rows_per_part: int = 20_000, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, end_id: int = 1, rows_per_part: int = 20_000, with_ids: bool = False,
+                   cache_chunks: int = 1_000_000) -> DataFrame:
     """Tokenises, cuts and packs: one row per piece with its sequence and place."""
-    return pack(token_pieces(docs, vocabulary_path, capacity, end_id, with_ids=with_ids), capacity, rows_per_part)
+    return pack(token_pieces(docs, vocabulary_path, capacity, end_id, with_ids=with_ids, cache_chunks=cache_chunks), capacity, rows_per_part)

@@ -67,8 +67,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents' tokens in sequences of at most 4096."""
-    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
+    """The places of all documents' tokens in sequences of at most 4096. The
+    executors' heaps are grown by the stages before, so the workers remember fewer words."""
+    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"), cache_chunks=200_000)
 
 
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("near_dedup", near_stage), ("pii", pii_stage), ("packing", packing_stage)]

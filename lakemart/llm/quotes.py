@@ -9,6 +9,12 @@ paragraphs, hashed alike. A passage belongs to the latest earlier message of its
 conversation that holds its hash, and a message replies to the message of its
 least deeply quoted passage that was found, or else to the one before it.
 
+Hashes are polynomials over the words modulo three primes, so the hash of a run
+is a difference of running sums at its two ends: no run is built as a string, and
+a body of L lines gives L rows for each of the lengths that its conversation
+quotes (quotes of K different lengths have K * K / 2 lines or more). Two different
+passages of as many words have one hash with a chance of about 2 ** -93.
+
 Ranks inside a conversation are taken in two steps (counts of chunks of turns,
 then places within a chunk), and so are the last holder of a hash and the last
 head of a chain before a message (the last of each chunk carried over the chunks,
@@ -33,6 +39,8 @@ from .common import Scratch
 MARKS = r"^[ \t]*(?:>[ \t]*)+"
 PARAGRAPHS = r"\n[ \t]*\n\s*"
 CHUNK = 1024
+#: Fixed values of the hash: (prime, base). Products of two residues fit a long.
+FIELDS = ((2147483647, 48271), (2147483629, 69621), (2147483587, 40692))
 
 
 def level(line: Column) -> Column:
@@ -48,13 +56,50 @@ def units(text: Column, cut: str) -> Column:
     return F.filter(F.transform(F.split(text, cut, -1), normalised), lambda x: x != "")
 
 
-def runs_of(parts: Column, counts: Column) -> Column:
-    """Every run of parts whose number is one of the counts, joined by blanks."""
-    def runs(held: Column) -> Column:
-        return F.flatten(F.transform(F.filter(counts, lambda k: k <= F.size(held)), lambda k: F.transform(
-            F.sequence(F.lit(0), F.size(held) - k), lambda at: F.array_join(F.slice(held, at + 1, k), " "))))
-    # The array round the parts makes Spark compute them once, not once a run.
-    return F.flatten(F.transform(F.array(parts), runs))
+def polynomials(text: Column) -> Column:
+    """The number of words of a normalised text, and its value in each field."""
+    start = F.struct(F.lit(0).cast("long").alias("words"), *[F.lit(0).cast("long").alias(f"h{x}") for x in range(len(FIELDS))])
+    return F.aggregate(F.split(text, " ", -1), start, lambda held, word: F.struct(
+        (held["words"] + 1).alias("words"), *[((held[f"h{x}"] * base + F.pmod(F.xxhash64(word), F.lit(prime))) % prime).alias(f"h{x}") for x, (prime, base) in enumerate(FIELDS)]))
+
+
+def hash_text(words: Column, values: list[Column]) -> Column:
+    return F.concat_ws(":", words.cast("string"), *[v.cast("string") for v in values])
+
+
+def hashed(text: Column) -> Column:
+    # The array round the polynomials makes Spark compute them once, not once a field.
+    return F.transform(F.array(polynomials(text)), lambda h: hash_text(h["words"], [h[f"h{x}"] for x in range(len(FIELDS))]))[0]
+
+
+def power(base: int, prime: int, exponent: Column) -> Column:
+    """``base ** exponent`` modulo the prime, by the bits of the exponent (below 2 ** 31)."""
+    squares = F.array(*[F.struct(F.lit(1 << b).cast("long").alias("bit"), F.lit(pow(base, 1 << b, prime)).cast("long").alias("value")) for b in range(31)])
+    return F.aggregate(squares, F.lit(1).cast("long"), lambda held, s: F.when(exponent.bitwiseAND(s["bit"]) != 0, held * s["value"] % prime).otherwise(held))
+
+
+def run_hashes(bodies: DataFrame, scratch: Scratch) -> DataFrame:
+    """(conv_id, source, hash) of every run of lines or paragraphs of the bodies
+    (conv_id, source, body, lines, paragraphs) whose number is 1 or one of
+    ``lines`` or ``paragraphs``. A unit adds its value, divided by the base to the
+    number of words up to its end, to the running sum; a run's hash is the
+    difference of the sums at its ends times the base to the words up to its end."""
+    def laid(kind: str, cut: str) -> DataFrame:
+        return bodies.select("conv_id", "source", F.lit(kind).alias("kind"), F.array_union(kind, F.array(F.lit(1))).alias("counts"), F.posexplode(units(F.col("body"), cut)).alias("pos", "unit"))
+
+    along = Window.partitionBy("conv_id", "source", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    fields = range(len(FIELDS))
+    held = laid("lines", "\n").unionByName(laid("paragraphs", PARAGRAPHS)).withColumn("h", polynomials(F.col("unit"))).drop("unit")
+    held = held.withColumn("upto", F.sum("h.words").over(along))
+    held = held.withColumns({f"t{x}": F.col(f"h.h{x}") * power(pow(base, -1, prime), prime, F.col("upto")) % prime for x, (prime, base) in enumerate(FIELDS)})
+    held = held.withColumns({f"s{x}": F.sum(f"t{x}").over(along) for x in fields})
+    held = scratch.table(held.select("conv_id", "source", "kind", "counts", "pos", F.col("h.words").alias("words"), "upto", *[f"t{x}" for x in fields], *[f"s{x}" for x in fields]), "quotes-units")
+    place = ["conv_id", "source", "kind", "pos"]
+    starts = (held.select("conv_id", "source", "kind", "pos", (F.col("upto") - F.col("words")).alias("before"), *[(F.col(f"s{x}") - F.col(f"t{x}")).alias(f"b{x}") for x in fields], F.explode("counts").alias("n"))
+              .withColumn("pos", F.col("pos") + F.col("n") - 1))
+    ends = held.select(*place, "upto", *[f"s{x}" for x in fields], *[power(base, prime, F.col("upto")).alias(f"p{x}") for x, (prime, base) in enumerate(FIELDS)])
+    value = [F.pmod(F.col(f"s{x}") - F.col(f"b{x}"), F.lit(prime)) * F.col(f"p{x}") % prime for x, (prime, _) in enumerate(FIELDS)]
+    return starts.join(ends, place).select("conv_id", "source", hash_text(F.col("upto") - F.col("before"), value).alias("hash"))
 
 
 def parse(text: Column) -> dict[str, Column]:
@@ -64,13 +109,14 @@ def parse(text: Column) -> dict[str, Column]:
     marked = F.transform(lines, lambda x: F.struct(level(x).alias("level"), F.regexp_replace(x, MARKS, "").alias("line")))
     body = F.regexp_replace(F.array_join(F.transform(F.filter(marked, lambda x: x["level"] == 0), lambda x: x["line"]), "\n"), r"^\s+|\s+$", "")
     # A mark with the level stands where the level changes; the rest are line ends.
+    # The array round the lines makes Spark compute them once, not once a line.
     def cut(all_lines: Column) -> Column:
         return F.transform(all_lines, lambda x, i: F.concat(
             F.when((i > 0) & (F.get(all_lines, i - 1)["level"] == x["level"]), F.lit("\n")).otherwise(F.concat(F.lit("\x02"), x["level"].cast("string"), F.lit("\x03"))), x["line"]))
-    runs = F.transform(F.filter(F.split(F.array_join(cut(marked), ""), "\x02"), lambda r: ~r.startswith("0\x03") & (r != "")),
+    runs = F.transform(F.filter(F.split(F.array_join(F.flatten(F.transform(F.array(marked), cut)), ""), "\x02"), lambda r: ~r.startswith("0\x03") & (r != "")),
                        lambda r: F.struct(F.substring_index(r, "\x03", 1).cast("int").alias("level"), F.substring_index(r, "\x03", -1).alias("text")))
     passages = F.transform(F.filter(runs, lambda r: normalised(r["text"]) != ""), lambda r: F.struct(
-        r["level"].alias("level"), F.md5(normalised(r["text"])).alias("hash"), F.size(units(r["text"], "\n")).alias("lines"), F.size(units(r["text"], PARAGRAPHS)).alias("paragraphs")))
+        r["level"].alias("level"), hashed(normalised(r["text"])).alias("hash"), F.size(units(r["text"], "\n")).alias("lines"), F.size(units(r["text"], PARAGRAPHS)).alias("paragraphs")))
     return {"body": body, "passages": passages}
 
 
@@ -116,11 +162,9 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     quoted = passages.select("conv_id", "rank", "level", "hash").distinct()
     # The lengths that a conversation quotes are the only ones that its originals need.
     quoting = passages.groupBy("conv_id").agg(F.collect_set("lines").alias("lines"), F.collect_set("paragraphs").alias("paragraphs"))
-    single = F.array(F.lit(1))
-    pieces = F.array_distinct(F.filter(F.concat(
-        F.array(normalised(F.col("body"))), runs_of(units(F.col("body"), PARAGRAPHS), F.array_union("paragraphs", single)), runs_of(units(F.col("body"), "\n"), F.array_union("lines", single))), lambda x: x != ""))
-    originals = (rows.join(quoting, "conv_id").select("conv_id", F.col("rank").alias("source"), F.explode(pieces).alias("piece"))
-                 .select("conv_id", "source", F.md5("piece").alias("hash")))
+    bodies = rows.join(quoting, "conv_id").select("conv_id", F.col("rank").alias("source"), "body", "lines", "paragraphs").filter(normalised(F.col("body")) != "")
+    whole = bodies.select("conv_id", "source", hashed(normalised(F.col("body"))).alias("hash"))
+    originals = whole.unionByName(run_hashes(bodies, scratch)).distinct()
     # The latest earlier holder of a hash: each quote and holder is a point on
     # the conversation's line, so ordered passes replace a join of all pairs.
     holders = originals.select("conv_id", "hash", F.col("source").alias("rank"), "source")
@@ -168,14 +212,25 @@ r AS (
   SELECT conv_id, rank, level, pos, content, sum(starts) OVER (PARTITION BY conv_id, rank ORDER BY pos) AS run
   FROM (SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY conv_id, rank ORDER BY pos) THEN 0 ELSE 1 END AS starts FROM l WHERE conv_id IS NOT NULL)),
 p AS (
-  SELECT conv_id, rank, level, trim(regexp_replace(lower(string_agg(content, ' ' ORDER BY pos)), '\s+', ' ', 'g')) AS piece
-  FROM r WHERE level > 0 GROUP BY conv_id, rank, level, run),
-q AS (SELECT conv_id, rank, level, md5(piece) AS hash FROM p WHERE piece <> ''),
+  SELECT conv_id, rank, level, string_agg(content, chr(10) ORDER BY pos) AS raw FROM r WHERE level > 0 GROUP BY conv_id, rank, level, run),
+q AS (
+  SELECT conv_id, rank, level, md5(trim(regexp_replace(lower(raw), '\s+', ' ', 'g'))) AS hash, len(list_filter(list_transform(string_split(raw, chr(10)), lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '')) AS lines,
+         len(list_filter(list_transform(regexp_split_to_array(raw, '\n[ \t]*\n\s*'), lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '')) AS paragraphs
+  FROM p WHERE trim(regexp_replace(lower(raw), '\s+', ' ', 'g')) <> ''),
+u AS (
+  SELECT conv_id, rank, 'lines' AS kind, list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM b WHERE conv_id IN (SELECT conv_id FROM q)
+  UNION ALL
+  SELECT conv_id, rank, 'paragraphs', list_filter(list_transform(regexp_split_to_array(body, '\n[ \t]*\n\s*'), lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '') FROM b WHERE conv_id IN (SELECT conv_id FROM q)),
+c AS (
+  SELECT conv_id, 'lines' AS kind, lines AS n FROM q UNION SELECT conv_id, 'paragraphs', paragraphs FROM q
+  UNION SELECT conv_id, kind, 1 FROM q, (VALUES ('lines'), ('paragraphs')) t(kind)),
 o AS (
-  SELECT DISTINCT conv_id, rank AS source, md5(piece) AS hash
-  FROM (SELECT conv_id, rank, trim(regexp_replace(lower(unnest([body] || regexp_split_to_array(body, '\n[ \t]*\n\s*') || string_split(body, chr(10)))), '\s+', ' ', 'g')) AS piece FROM b)
+  SELECT DISTINCT conv_id, source, md5(piece) AS hash
+  FROM (SELECT conv_id, rank AS source, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) AS piece FROM b WHERE conv_id IN (SELECT conv_id FROM q)
+        UNION ALL
+        SELECT u.conv_id, u.rank, unnest(list_transform(range(1, len(parts) - n + 2), lambda i: array_to_string(parts[i:i + n - 1], ' '))) FROM u JOIN c ON c.conv_id = u.conv_id AND c.kind = u.kind)
   WHERE piece <> ''),
-k AS (SELECT q.conv_id, q.rank, q.level, q.hash, max(o.source) AS source FROM (SELECT DISTINCT * FROM q) q JOIN o ON o.conv_id = q.conv_id AND o.hash = q.hash AND o.source < q.rank GROUP BY ALL),
+k AS (SELECT q.conv_id, q.rank, q.level, q.hash, max(o.source) AS source FROM (SELECT DISTINCT conv_id, rank, level, hash FROM q) q JOIN o ON o.conv_id = q.conv_id AND o.hash = q.hash AND o.source < q.rank GROUP BY ALL),
 f AS (SELECT conv_id, rank, count(*) AS n_linked, arg_max(source, -level * 1000000000 + source) AS quoted FROM k GROUP BY ALL),
 h AS (SELECT conv_id, rank AS head, quoted FROM f WHERE quoted <> rank - 1),
 d AS (

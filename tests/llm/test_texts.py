@@ -9,9 +9,11 @@ import re
 import duckdb
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakemart.llm import licenses, pii, quality, queries, quotes
+from lakemart.llm.common import Scratch
 from tests.conftest import SF_CHECK, SF_SMALL
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -314,6 +316,36 @@ def test_quotes_partial(spark):
             assert (got[c, t].n_passages, got[c, t].n_linked) == (len(found), sum(x is not None for x in found)), (texts, t)
             if t:
                 assert got[c, t].reply_to == max((x for x in found if x is not None), default=t - 1), (texts, t)
+    conversations = pd.DataFrame([(c, t, "a", x) for c, texts in enumerate(convs) for t, x in enumerate(texts)], columns=["conv_id", "turn", "role", "text"])
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    same = lambda *r: tuple(None if x is None else int(x) for x in r)
+    expected = con.sql(f"SELECT conv_id, turn, n_passages, n_linked, reply_to, depth FROM ({quotes.SQL})").fetchall()
+    assert sorted(same(r.conv_id, r.turn, r.n_passages, r.n_linked, r.reply_to, r.depth) for r in got.values()) == sorted(same(*r) for r in expected)
+
+
+def test_quotes_long(spark):
+    """Half of a body of 4,000 lines is quoted: two rows a line and no string of a run."""
+    lines = [f"line {i} of {i % 7}" for i in range(4000)]
+    rows = [(1, 0, "a", "\n".join(lines)), (1, 1, "b", "x"), (1, 2, "a", "\n".join("> " + x for x in lines[999:2999]) + "\nyes"), (1, 3, "b", "\n".join("> " + x for x in lines[999:2998]) + "\n> else\nno")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotes.link_quotes(df).collect()}
+    assert [(got[t].n_linked, got[t].reply_to) for t in range(4)] == [(0, None), (0, 0), (1, 0), (0, 2)]
+    bodies = df.filter("turn = 0").selectExpr("conv_id", "turn as source", "text as body", "array(2000) as lines", "array(1) as paragraphs")
+    runs = quotes.run_hashes(bodies, Scratch(spark))
+    assert runs.count() == 4000 + 2001 + 1
+
+
+def test_run_hashes(spark):
+    """A run's hash from running sums is the hash of its text, at every place and length."""
+    rnd = random.Random(5)
+    bodies = [[" ".join(rnd.choice(["a", "b", "\u00e9", "word"]) for _ in range(rnd.randrange(1, 5))) for _ in range(rnd.randrange(1, 9))] for _ in range(20)]
+    df = spark.createDataFrame([(1, k, "\n".join(b), list(range(1, 9)), [1]) for k, b in enumerate(bodies)], "conv_id long, source long, body string, lines array<int>, paragraphs array<int>")
+    got = {(r.source, r.hash) for r in quotes.run_hashes(df, Scratch(spark)).collect()}
+    texts = [(k, " ".join(b[i:j])) for k, b in enumerate(bodies) for i in range(len(b)) for j in range(i + 1, len(b) + 1)]
+    direct = spark.createDataFrame(texts, "source long, text string").select("source", "text", quotes.hashed(F.col("text")).alias("hash")).collect()
+    assert got == {(r.source, r.hash) for r in direct}
+    assert len({r.hash for r in direct}) == len({r.text for r in direct})
 
 
 def test_quotes_one_conversation(spark):

@@ -174,3 +174,66 @@ def test_a_species_that_training_lacks_is_scored(spark):
     params = fc.ForestParams(num_trees=3, max_depth=3)
     model = fc.fit(rows.filter("species_id < 2"), ["landed_kg"], params, encode_species=True)
     assert fc.predict(model, rows, encode_species=True).filter("predicted_kg is not null").count() == 24
+
+
+def odd_tables(spark, folder) -> str:
+    """Small raw tables: repeated notes, parts and suppliers, missing ones, null keys, ties by area and vessel."""
+    ts = "timestamp_ntz'2001-03-0%d 00:00:00'"
+    lines = []
+    for order in range(40):
+        for copy in range(1 + order % 3):  # notes of up to three lines
+            part = "NULL" if order == 7 else str((order * 5 + copy) % 9)  # 8: no such part
+            supplier = "NULL" if order == 11 else str((order + copy * (order % 2)) % 8)  # 7: no such supplier
+            lines.append((str(order) if order != 13 else "NULL", part, supplier, "1", f"double({(order + copy) % 4})", "0.0D" if order % 10 == 9 else "0.05D",
+                          "0.08D" if (order + copy) % 6 == 5 else "0.02D", f"'{'ANR'[copy]}'", "NULL" if order == 17 and copy else ts % (1 + (order * copy) % 2)))
+    rows = {
+        "region": ("r_regionkey int, r_name string", [("0", "'NORTH'"), ("1", "'EAST'"), ("1", "'WEST'"), ("2", "NULL")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(str(n), f"'N{n}'", str(n % 4)) for n in range(4)]),  # region 3: none
+        "supplier": ("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+                     [(str(s), f"'S{s}'", str(s % 4), "1.5D") for s in range(7)] + [("0", "'S0'", "1", "2.5D"), ("4", "'S4'", "2", "2.5D"), ("NULL", "'S'", "1", "0.5D")]),
+        "part": ("p_partkey bigint, p_type string", [(str(p), "NULL" if p == 5 else f"'{'abAB'[p % 4]}'") for p in range(8)] + [("2", "'Z'"), ("NULL", "'a'")]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string, "
+                     "l_shipdate timestamp_ntz", lines)}
+    for name, (schema, values) in rows.items():
+        types = [c.strip().split(" ") for c in schema.split(",")]
+        spark.sql(" UNION ALL ".join("SELECT " + ", ".join(f"CAST({v} AS {t}) AS {c}" for v, (c, t) in zip(row, types)) for row in values)
+                  ).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_written_silver_equals_silver_of_the_raw_tables(spark, tmp_path, monkeypatch, threshold, hot):
+    from lakemart.plans import bindings as b
+    monkeypatch.setattr(layers, "hottest_share", lambda df, column: float(hot))
+    sf, before = odd_tables(spark, tmp_path), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    expected = sorted(map(str, layers.silver_landings(spark, sf).collect()))
+    counts = silver.quality_counts(b.landings(spark, sf)).first().asDict()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    tables = layers.Layers(spark, sf)
+    try:
+        assert tables.bucketed is not hot
+        assert sorted(map(str, tables.silver_landings.collect())) == expected and len(expected) > 5
+        assert tables.silver_landings.columns == layers.silver_landings(spark, sf).columns
+        assert tables.landing_counts() == counts | {"rows_out": len(expected)}
+    finally:
+        tables.drop()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_are_shuffled_three_times(spark, monkeypatch):
+    """By part, note and vessel; the layout is chosen without a join of the lines."""
+    from lakemart.plans import bindings as b
+    seen = []
+    monkeypatch.setattr(layers, "write_bucketed", lambda df, name, path, column, buckets, lookup=None, columns=None: seen.append(df) or df)
+    monkeypatch.setattr(layers, "hottest_share", lambda df, column: seen.append(df) or 0.0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        layers.Layers(spark, SF_SMALL).silver_landings
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    share, lines = sorted((df._jdf.queryExecution().executedPlan().toString() for df in seen), key=len)
+    assert "Join" not in share and "Exchange" not in share
+    assert lines.count("Exchange hashpartitioning(l_partkey") == 1 and "hashpartitioning(l_suppkey" not in lines
+    assert "SortMergeJoin" not in lines and lines.count("Exchange hashpartitioning") == 3  # the third: the parts

@@ -14,6 +14,7 @@ alone); an empty table gives no row; repeated rows are packed each.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -38,28 +39,44 @@ class WordTokens:
     The library's tokens never reach across white space, so each run between
     white space is tokenised once while a worker remembers it. New runs go
     through the library together, with a control character between them whose
-    one token cuts their ids apart again.
+    one token cuts their ids apart again. They are normalised already, so they go
+    through a copy without the normaliser; the whole library, which texts that are
+    not plain need, is built when the first of them comes.
     """
 
     BETWEEN = "\x01"
+    #: Marks that end a word as one run of their own ("'" may begin a contraction).
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, text: str, cache_chunks: int = 1_000_000):
+        self.text, self.library = text, None
+        self.words = self._built({**json.loads(text), "normalizer": None})
+        (self.cut,) = self.words.encode(self.BETWEEN, add_special_tokens=False).ids
+        self.chunks = ChunkCache(cache_chunks)
+
+    @staticmethod
+    def _built(spec: dict):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(text)
-        self.library.no_truncation()
-        self.library.no_padding()
-        (self.cut,) = self.library.encode(self.BETWEEN, add_special_tokens=False).ids
-        self.chunks = ChunkCache(cache_chunks)
+        library = Tokenizer.from_str(json.dumps(spec))
+        library.no_truncation()
+        library.no_padding()
+        return library
 
-    def whole(self, text: str) -> np.ndarray:
-        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+    @staticmethod
+    def _ids(library, text: str) -> np.ndarray:
+        (found,) = library.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4")
 
+    def whole(self, text: str) -> np.ndarray:
+        if self.library is None:
+            self.library = self._built(json.loads(self.text))
+        return self._ids(self.library, text)
+
     def _learn(self, chunks: list[str]) -> None:
         for i in range(0, len(chunks), 5000):
             part = chunks[i:i + 5000]
-            ids = self.whole(f" {self.BETWEEN} ".join(part))
+            ids = self._ids(self.words, f" {self.BETWEEN} ".join(part))
             cuts = np.flatnonzero(ids == self.cut)
             if len(cuts) != len(part) - 1:
                 raise ValueError("a chunk holds the character that stands between chunks")
@@ -80,13 +97,17 @@ class WordTokens:
         for chunks in split:
             new.update(chunks or ())
         new.difference_update(seen)
-        # A word with one stop after it is the word's ids and the stop's.
-        stopped = {c for c in new if c[-1] in ",." and c[-2:-1].isalpha()}
-        plain = new - stopped
-        if stopped:
-            plain.update((c[:-1] for c in stopped), ",.")
+        # A word with marks after it is the word's ids and those of the run of marks.
+        marked = {}
+        for c in new:
+            word = c.rstrip(self.MARKS)
+            if len(word) < len(c) and word[-1:].isalpha():
+                marked[c] = (word, c[len(word):])
+        plain = new.difference(marked)
+        for pair in marked.values():
+            plain.update(pair)
         self._learn(list(plain.difference(seen)))
-        seen.update([(c, seen[c[:-1]] + seen[c[-1]]) for c in stopped])
+        seen.update([(c, seen[word] + seen[marks]) for c, (word, marks) in marked.items()])
         get = seen.__getitem__
         return [self.whole(t).tobytes() if cs is None else b"".join(map(get, cs)) for t, cs in zip(texts, split)]
 

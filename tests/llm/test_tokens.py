@@ -111,3 +111,26 @@ def test_pack_documents(spark, frame, library):
         bound = packing.bin_bound(np.array([r.length for r in packed]), 64)
         assert bound <= len(bins) <= bound + (2 if per_part > 100 else 6)
     assert packing.pack_documents(frame([]), WORD).collect() == []
+
+
+def test_marks_after_a_word_are_learnt_apart_from_it(monkeypatch):
+    """A word is learnt once, whatever marks follow it; ids stay the library's."""
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from lakemart.llm import packing
+    from lakemart.llm.common import vocabulary
+
+    path = vocabulary("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    words = packing.WordTokens(open(path, encoding="utf-8").read())
+    learnt, learn = [], words._learn
+    monkeypatch.setattr(words, "_learn", lambda chunks: learnt.extend(chunks) or learn(chunks))
+    words.encode(["Hafen*** hafen!? hafen, (hafen) hafen"])
+    assert sorted(learnt) == sorted([")", "!?", "(hafen", "***", ",", "hafen"])
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abİßéÉsStTd12''.,;!?*$_-<|>()\"\\@&§ª \t\n ", k=rng.randint(0, 40))) for _ in range(3000)]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert words.encode(texts) == expected

@@ -122,3 +122,34 @@ def test_size_check_refuses_large_sides(spark):
     li = Tables(spark, SF_SMALL).lineitem
     assert fits_broadcast(li, threshold=10)  is False
     assert broadcast_if_fits(li, threshold=10) is li
+
+
+def test_vessel_and_forecast_queries_shuffle_the_lines_three_times(spark, monkeypatch):
+    """ml_fit, fact_landings_joined, filt_train and join_dim_vessel beyond the broadcast limit: all work on the
+    lines is in the written Silver (by part, note and bucket); what follows moves no landing before it is aggregated."""
+    from lakemart.operators import forecast as fc
+    from lakemart.plans.queries import q_forecast
+    laid, written, shared, fit = [], [], {}, fc.fit
+    share, write = layers.hottest_share, layers.write_bucketed
+    monkeypatch.setattr(layers, "hottest_share", lambda df, column: laid.append(plan(df)) or share(df, column))
+    monkeypatch.setattr(layers, "write_bucketed", lambda df, *args: written.append(plan(df)) or write(df, *args))
+    monkeypatch.setattr(layers, "shared", lambda session, sf: shared.setdefault(sf, layers.Layers(session, sf)))
+    monkeypatch.setattr(fc, "fit", lambda train, names, params, encode: fit(train, names, fc.ForestParams(num_trees=2, max_depth=2), encode))
+    monkeypatch.setattr(q_forecast, "_ROWS", {})
+    monkeypatch.setattr(q_forecast, "_MODELS", {})
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    tables = layers.shared(spark, SF_SMALL)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+        tables.silver_landings
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+        ends = {qid: plan(QUERIES[qid](spark, SF_SMALL)) for qid in ("fact_landings_joined", "join_dim_vessel", "filt_train", "ml_fit")}
+        lines = [p for p in written if "lineitem.parquet" in p]
+        assert len(laid) == len(lines) == 1 and "Join" not in laid[0] and "Exchange" not in laid[0]
+        assert lines[0].count("Exchange hashpartitioning") == 3 and "SortMergeJoin" not in lines[0]  # lines by part and note, and the parts
+        assert all("Exchange hashpartitioning" not in p and "lineitem.parquet" not in p for p in ends.values())
+        mart = plan(tables.mart_plan())
+        assert "hashpartitioning(note_id" not in mart and "hashpartitioning(vessel_id" not in mart
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        tables.drop()
